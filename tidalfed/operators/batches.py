@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidalfed import settings as S
 from tidalfed.operators.ordered import position, running, top_per_key
-from tidalfed.operators.sizing import group_sizes, lookup
+from tidalfed.operators.sizing import group_sizes, lookup, sized_broadcast
 
 ORDER = ("event_time", "event_id")
 
@@ -24,7 +24,7 @@ def count_batches(readings: DataFrame, keys: Sequence[str] = ("edge_id",),
     keys = list(keys)
     numbered = position(readings, keys, order, "position", group_rows)
     totals = readings.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    joined = lookup(numbered, totals, keys)
+    joined = lookup(numbered, sized_broadcast(totals), keys)
     full = F.expr(f"_rows div {size}") * size
     return joined.select(
         *numbered.columns,

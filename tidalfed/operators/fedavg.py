@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidalfed.functions.features import with_default
-from tidalfed.operators.sizing import lookup
+from tidalfed.operators.sizing import lookup, sized_broadcast
 
 SIDE = 1 << 20  # bound of each side of a coefficient matrix
 SHAPE_ERROR = "weight vectors of one group differ in shape or hold nulls"
@@ -164,7 +164,7 @@ def contributions(updates: DataFrame, round_keys: Sequence[str], node: str = "no
     """
     totals = (updates.groupBy(*round_keys).agg(F.sum(samples).alias("_round_samples"))
               .filter(F.col("_round_samples") > 0))
-    return updates.join(totals, list(round_keys)).select(
+    return updates.join(sized_broadcast(totals), list(round_keys)).select(
         *round_keys, node, F.col(samples).cast("bigint").alias("samples"),
         (F.col(samples) / F.col("_round_samples")).alias("weight_factor"),
         with_default(loss, 0.0).alias("loss"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidalfed import settings as S
@@ -65,19 +65,14 @@ def with_model_in_force(readings: DataFrame, models: DataFrame, *, key: str = "e
     forward; a model published at the time of a reading is already in force. Models must
     be in the same key as the readings; keys of any size are cut into segments.
     """
-    line = F.struct(*[F.col(c) for c in readings.columns])
-    parts = F.struct(*[F.col(c) for c in model])
-    left = readings.select(F.col(key).alias("_key"), F.col(time).alias("_time"),
-                           F.lit(1).alias("_kind"), F.col(row_id).alias("_id"),
-                           line.alias("_reading"), _null_of(models, model).alias("_model"))
-    right = models.select(F.col(key).alias("_key"), F.col(published).alias("_time"),
-                          F.lit(0).alias("_kind"), F.lit(0).cast("bigint").alias("_id"),
-                          _null_of(readings, readings.columns).alias("_reading"),
-                          parts.alias("_model"))
-    carried = running(left.unionByName(right), ["_key"], ["_time", "_kind", "_id"],
+    current = F.struct(*model)
+    none = F.lit(None).cast(models.select(current.alias("m")).schema["m"].dataType)
+    left = readings.withColumns({"_kind": F.lit(1), "_tie": F.lit(0).cast("bigint"),
+                                 "_model": none})
+    # Of models published at one time, the same one is in force in every run.
+    right = models.select(key, F.col(published).alias(time), F.lit(0).alias("_kind"),
+                          F.xxhash64(*model).alias("_tie"), current.alias("_model"))
+    line = left.unionByName(right, allowMissingColumns=True)
+    carried = running(line, [key], [time, "_kind", "_tie", row_id],
                       last={"_current": F.col("_model")}, group_rows=group_rows)
-    return carried.filter(F.col("_kind") == 1).select("_reading.*", "_current.*")
-
-
-def _null_of(df: DataFrame, columns: Sequence[str]) -> Column:
-    return F.lit(None).cast(df.select(F.struct(*columns).alias("s")).schema["s"].dataType)
+    return carried.filter(F.col("_kind") == 1).select(*readings.columns, "_current.*")

@@ -106,11 +106,8 @@ def bytes_by_topic(messages: DataFrame, base_topic: str) -> DataFrame:
     sizes = messages.groupBy("topic").agg(
         F.count(F.lit(1)).alias("messages"),
         F.sum(F.octet_length("value").cast("bigint")).alias("bytes"))
-    base = sizes.filter(F.col("topic") == base_topic).select(
-        F.lit(1).alias("_one"), F.col("bytes").alias("_base"))
-    marked = sizes.withColumn("_one", F.lit(1))
-    return (marked.join(sized_broadcast(base), "_one", "left")
-            .withColumn("ratio", F.try_divide("bytes", "_base")).drop("_one", "_base"))
+    base = sizes.filter(F.col("topic") == base_topic).select("bytes").scalar()
+    return sizes.withColumn("ratio", F.try_divide(F.col("bytes"), base))
 
 
 def anomaly_alerts(readings: DataFrame, duration: str = S.WINDOW, rate: float = S.ALERT_RATE,

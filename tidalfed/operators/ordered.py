@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidalfed import settings as S
-from tidalfed.operators.sizing import group_sizes, lookup
+from tidalfed.operators.sizing import group_sizes, lookup, sized_broadcast
 from tidalfed.session import shared_folder
 
 SEGMENT = "_segment"
@@ -71,7 +71,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         *[F.last(name, ignorenulls=True).over(earlier).alias(f"_carry_{name}")
           for name in last],
     )
-    joined = lookup(scanned, carried, [*keys, SEGMENT], "left")
+    joined = lookup(scanned, sized_broadcast(carried), [*keys, SEGMENT], "left")
     summed = [F.when(F.col(f"_carry_{n}").isNull(), F.col(n))
               .otherwise(F.coalesce(n, F.lit(0)) + F.col(f"_carry_{n}")).alias(n)
               for n in sums]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidalfed import settings as S
-from tidalfed.operators.sizing import group_sizes, lookup
+from tidalfed.operators.sizing import group_sizes, lookup, sized_broadcast
 
 KEYS = ["window", "region"]
 
@@ -40,14 +40,15 @@ def regional_totals(updates: DataFrame, duration: str = S.WINDOW,
 
 
 def regional_rollup(updates: DataFrame, duration: str = S.WINDOW,
-                    watermark: str | None = None, list_rows: int = S.LIST_ROWS) -> DataFrame:
+                    watermark: str | None = None, list_rows: int = S.LIST_ROWS,
+                    stream_pages: int = 1) -> DataFrame:
     """Roll-up with the contributing edges and their models as lists.
 
     A list is one cell of one row, so a region that takes most of the updates must not put
     all of them into one. Groups beyond ``list_rows`` are spread over several rows, told
     apart by ``page``; every row carries the totals of its whole group. Usual groups have
-    page 0 only. A stream cannot count ahead: there, each group has one row, and regions
-    too large for that use :func:`regional_totals` with FedAvg by window.
+    page 0 only. A stream cannot count ahead: there, every group is spread over
+    ``stream_pages`` rows, and each carries the totals of its own page, to be added up.
     """
     if watermark:
         updates = updates.withWatermark("event_time", watermark)
@@ -58,14 +59,17 @@ def regional_rollup(updates: DataFrame, duration: str = S.WINDOW,
         F.transform(members, lambda m: m["weights"]).alias("all_weights"),
     ]
     measures = _measures(F.col("accuracy"), F.col("anomalies"))
+    salt = F.xxhash64("edge_id", "event_time", "weights")
+    if updates.isStreaming and stream_pages > 1:
+        paged = rows.withColumn("page", F.pmod(salt, F.lit(stream_pages)).cast("int"))
+        return _flatten(paged.groupBy(*KEYS, "page").agg(*lists, *measures))
     if updates.isStreaming or group_sizes(rows, KEYS)[0] <= list_rows:
         paged = rows.groupBy(*KEYS).agg(*lists, *measures).withColumn("page", F.lit(0))
         return _flatten(paged)
 
     totals = rows.groupBy(*KEYS).agg(*measures)
     pages = F.ceil(F.col("num_updates") / F.lit(list_rows))
-    salt = F.xxhash64("edge_id", "event_time", "weights")
-    salted = lookup(rows, totals, KEYS).withColumn("page", F.pmod(salt, pages).cast("int"))
+    salted = lookup(rows, sized_broadcast(totals), KEYS).withColumn("page", F.pmod(salt, pages).cast("int"))
     measured = [F.first(c).alias(c) for c in totals.columns if c not in KEYS]
     return _flatten(salted.groupBy(*KEYS, "page").agg(*lists, *measured))
 

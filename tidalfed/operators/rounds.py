@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidalfed import settings as S
 from tidalfed.functions.vectors import l2_norm
 from tidalfed.operators.ordered import position, running, top_per_key
-from tidalfed.operators.sizing import lookup
+from tidalfed.operators.sizing import lookup, sized_broadcast
 
 
 def round_ready(updates: DataFrame, keys: Sequence[str], participant: str = "region",
@@ -59,7 +59,7 @@ def round_numbers(windows: DataFrame, keys: Sequence[str] = ("model_id",),
     """Number the published windows of each model from 1; rows of one window share it."""
     distinct = windows.select(*keys, start).distinct()
     numbered = position(distinct, list(keys), [start], "round")
-    return lookup(windows, numbered, [*keys, start])
+    return lookup(windows, sized_broadcast(numbered), [*keys, start])
 
 
 def loss_history(rounds: DataFrame, keys: Sequence[str] = ("model_id",), order: str = "round",

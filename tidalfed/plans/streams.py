@@ -182,4 +182,5 @@ def stream_batch_training(spark: SparkSession, folder: str) -> DataFrame:
     """A step of each machine node per micro-batch (the table comes as one batch)."""
     stream = tables.as_machine(table_stream(spark, folder, "lineitem"))
     _, nodes = train_by_batch(stream, run_folder(spark, "training"), X.shift_scale())
-    return long_model(nodes, "node_id", "n_samples", parts=("bias",), extra=())
+    last = nodes.filter(F.col("batch") == F.col("batch_id"))
+    return long_model(last, "node_id", "n_samples", parts=("bias",), extra=())

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -17,7 +18,7 @@ from tidalfed.operators.joins import latest
 from tidalfed.operators.rollup import windowed
 from tidalfed.operators.rounds import participants, round_log
 from tidalfed.sources.roundlog import append_rounds
-from tidalfed.streaming.run import batches_before
+from tidalfed.streaming.run import BatchTable
 
 MODEL = ("round int, model_id string, weights array<double>, bias double, "
          "weighted_loss double, total_samples bigint, updates bigint")
@@ -44,36 +45,38 @@ class TriggerRounds:
 
     Used as a ``foreachBatch`` function. The newest update of each node counts. While a
     model has fewer than ``min_nodes`` nodes its updates wait in the pending table; they
-    leave it when their round is published. All tables are written per batch number, so a
-    repeated batch replaces its own output. Rows stay on the executors.
+    leave it when their round is published. Every batch writes its own folders and reads
+    those of the batch before only, so a repeated batch replaces its own output and the
+    cost of a batch does not grow with the age of the stream. Rows stay on the executors.
     """
 
     def __init__(self, folder: str, min_nodes: int = S.NODES_PER_ROUND) -> None:
-        self.models = f"{folder}/models"
-        self.pending = f"{folder}/pending"
+        self.models = BatchTable(f"{folder}/models", MODEL)
+        self.counts = BatchTable(f"{folder}/counts", "model_id string, round int")
+        self.pending = BatchTable(f"{folder}/pending", PENDING)
         self.log = f"{folder}/log"
         self.min_nodes = min_nodes
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        waiting = self.pending.before(spark, batch_id)
+        counts = self.counts.before(spark, batch_id)
         if batch.isEmpty():
-            self._carry(batch.sparkSession, batch_id)
+            self.pending.write(waiting, batch_id)
+            self.counts.write(counts, batch_id)
+            self.models.write(spark.createDataFrame([], MODEL), batch_id)
             return
-        spark = batch.sparkSession
-        waiting = self._waiting(spark, batch_id)
-        columns = [part.split()[0] for part in PENDING.split(", ")]
-        seen = latest(batch.select(*columns).unionByName(waiting.select(*columns)),
-                      ["model_id", "node_id"], ["event_time"]).checkpoint()
+        arrived = batch.select(*waiting.columns).unionByName(waiting)
+        seen = latest(arrived, ["model_id", "node_id"], ["event_time"]).checkpoint()
         ready = seen.groupBy("model_id").agg(F.count(F.lit(1)).alias("_nodes")).filter(
             F.col("_nodes") >= self.min_nodes)
-        done = batches_before(spark, self.models, MODEL, batch_id).groupBy("model_id").agg(
-            F.max("round").alias("_done"))
         averaged = fedavg_vector(seen.join(ready, "model_id", "left_semi"), ["model_id"])
-        models = (averaged.join(done, "model_id", "left")
-                  .withColumn("round", F.coalesce("_done", F.lit(0)) + 1).drop("_done"))
-        models.write.mode("overwrite").parquet(f"{self.models}/batch_id={batch_id}")
-        published = spark.read.schema(MODEL).parquet(f"{self.models}/batch_id={batch_id}")
-        left = seen.join(published.select("model_id"), "model_id", "left_anti")
-        left.write.mode("overwrite").parquet(f"{self.pending}/batch_id={batch_id}")
+        models = averaged.join(counts, "model_id", "left").withColumn(
+            "round", F.coalesce("round", F.lit(0)) + 1)
+        published = self.models.write(models, batch_id)
+        done = published.select("model_id", "round")
+        self.pending.write(seen.join(done, "model_id", "left_anti"), batch_id)
+        self.counts.write(counts.join(done, "model_id", "left_anti").unionByName(done), batch_id)
         members = participants(seen.select("model_id", F.col("node_id").cast("string")),
                                ["model_id"], "node_id")
         entries = published.join(members, "model_id").select(
@@ -82,17 +85,6 @@ class TriggerRounds:
             "weights", "page")
         append_rounds(round_log(entries), self.log, batch_id)
 
-    def _waiting(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        if batch_id == 0:
-            return spark.createDataFrame([], PENDING)
-        return spark.read.schema(PENDING).parquet(f"{self.pending}/batch_id={batch_id - 1}")
-
-    def _carry(self, spark: SparkSession, batch_id: int) -> None:
-        self._waiting(spark, batch_id).write.mode("overwrite").parquet(
-            f"{self.pending}/batch_id={batch_id}")
-        spark.createDataFrame([], MODEL).write.mode("overwrite").parquet(
-            f"{self.models}/batch_id={batch_id}")
-
 
 def rounds_by_trigger(updates: DataFrame, folder: str,
                       min_nodes: int = S.NODES_PER_ROUND) -> DataFrame:
@@ -102,7 +94,7 @@ def rounds_by_trigger(updates: DataFrame, folder: str,
              .option("checkpointLocation", f"{folder}/checkpoint")
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return updates.sparkSession.read.schema(MODEL).parquet(rounds.models)
+    return rounds.models.read(updates.sparkSession)
 
 
 ROUND = ("model_id string, round int, reason string, weights array<double>, bias double, "
@@ -112,8 +104,9 @@ ROUND = ("model_id string, round int, reason string, weights array<double>, bias
 class OpenRound(StatefulProcessor):
     """The open round of a model: closed by enough regions, or by its time running out.
 
-    Keeps running sums, so the state of a model has the size of one model. A real timer
-    ends a round; it does not wait for the next message.
+    Keeps running sums, so the state of a model has the size of one model and the names of
+    fewer regions than close a round. The time is event time: a round ends at the first
+    message beyond its time, or by a timer when none comes.
     """
 
     def __init__(self, regions: int, timeout_seconds: int) -> None:
@@ -122,72 +115,90 @@ class OpenRound(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.sums = handle.getValueState(
-            "sums", "round int, nw array<double>, n bigint, updates bigint, anomalies bigint, "
-                    "opened bigint")
-        self.seen = handle.getMapState("seen", "region string", "updates bigint")
+        self.state = handle.getValueState(
+            "state", "round int, opened bigint, nw array<double>, n bigint, updates bigint, "
+                     "anomalies bigint, regions array<string>")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+        current = self._load()
+        opened_before = current.opened
         for chunk in rows:
             closed = []
             for row in chunk.sort_values(["event_time", "region"]).itertuples(index=False):
-                closed.extend(self._take(key[0], row))
+                if row.total_samples <= 0:
+                    continue
+                now = row.event_time.value // 1_000_000
+                if current.opened is not None and now > current.opened + self.timeout:
+                    closed.append(current.report(key[0], "timeout"))
+                    current = current.following()
+                current.add(row, now)
+                if len(current.regions) >= self.regions:
+                    closed.append(current.report(key[0], "regions"))
+                    current = current.following()
             if closed:
                 yield pd.DataFrame(closed)
+        if current.opened != opened_before:
+            if opened_before is not None:
+                self.handle.deleteTimer(opened_before + self.timeout)
+            if current.opened is not None:
+                self.handle.registerTimer(current.opened + self.timeout)
+        self._store(current)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        current = self._current()
-        if current["n"] > 0:
-            yield pd.DataFrame([self._close(key[0], current, "timeout")])
+        current = self._load()
+        if current.opened is not None:
+            self._store(current.following())
+            yield pd.DataFrame([current.report(key[0], "timeout")])
 
     def close(self) -> None:
         pass
 
-    def _current(self) -> dict:
-        names = ("round", "nw", "n", "updates", "anomalies", "opened")
-        if not self.sums.exists():
-            return dict(zip(names, (0, [], 0, 0, 0, -1)))
-        return dict(zip(names, self.sums.get()))
-
-    def _take(self, model_id: str, row):
-        current = self._current()
-        if row.total_samples <= 0:
-            return
-        vector = row.total_samples * np.append(np.asarray(row.weights, dtype=float), row.bias)
-        opens = current["updates"] == 0
-        if opens:
-            current["opened"] = int(row.event_time.timestamp() * 1000)
-            self.handle.registerTimer(current["opened"] + self.timeout)
-        current["nw"] = (vector if opens else np.asarray(current["nw"]) + vector).tolist()
-        current["n"] += int(row.total_samples)
-        current["updates"] += int(row.updates)
-        current["anomalies"] += int(row.anomalies)
-        known = self.seen.getValue((row.region,)) if self.seen.containsKey((row.region,)) else (0,)
-        self.seen.updateValue((row.region,), (known[0] + 1,))
-        self._keep(current)
-        if self._participants() >= self.regions:
-            self.handle.deleteTimer(current["opened"] + self.timeout)
-            yield self._close(model_id, current, "regions")
-
-    def _participants(self) -> int:
-        return sum(1 for _ in self.seen.keys())
-
-    def _keep(self, current: dict) -> None:
-        self.sums.update((current["round"], current["nw"], current["n"], current["updates"],
-                          current["anomalies"], current["opened"]))
-
-    def _close(self, model_id: str, current: dict, reason: str) -> dict:
-        mean = np.asarray(current["nw"]) / current["n"]
-        closed = {
-            "model_id": model_id, "round": current["round"], "reason": reason,
+    def _load(self) -> RoundSums:
+        if not self.state.exists():
+            return RoundSums()
+        number, opened, nw, n, updates, anomalies, regions = self.state.get()
+        return RoundSums(number, opened, np.asarray(nw, dtype=float), n, updates, anomalies,
+                         set(regions))
+
+    def _store(self, sums: RoundSums) -> None:
+        self.state.update((sums.round, sums.opened, sums.nw.tolist(), sums.n, sums.updates,
+                           sums.anomalies, sorted(sums.regions)))
+
+
+@dataclass
+class RoundSums:
+    """What an open round has taken in: sums, and the regions that took part."""
+
+    round: int = 0
+    opened: int | None = None
+    nw: np.ndarray = field(default_factory=lambda: np.zeros(1))
+    n: int = 0
+    updates: int = 0
+    anomalies: int = 0
+    regions: set[str] = field(default_factory=set)
+
+    def add(self, row, now: int) -> None:
+        if self.opened is None:
+            self.opened = now
+        vector = np.append(np.asarray(row.weights, dtype=float), row.bias)
+        self.nw = self.nw + row.total_samples * vector
+        self.n += int(row.total_samples)
+        self.updates += int(row.updates)
+        self.anomalies += int(row.anomalies)
+        self.regions.add(row.region)
+
+    def following(self) -> RoundSums:
+        return RoundSums(self.round + 1)
+
+    def report(self, model_id: str, reason: str) -> dict:
+        """The averaged model of the round."""
+        mean = self.nw / self.n
+        return {
+            "model_id": model_id, "round": self.round, "reason": reason,
             "weights": mean[:-1].tolist(), "bias": float(mean[-1]),
-            "total_samples": current["n"], "updates": current["updates"],
-            "participants": self._participants(), "anomalies": current["anomalies"],
+            "total_samples": self.n, "updates": self.updates,
+            "participants": len(self.regions), "anomalies": self.anomalies,
         }
-        self.seen.clear()
-        self._keep({"round": current["round"] + 1, "nw": [], "n": 0, "updates": 0,
-                    "anomalies": 0, "opened": -1})
-        return closed
 
 
 def rounds_by_participants(regional: DataFrame, regions: int = S.REGIONS_PER_ROUND,

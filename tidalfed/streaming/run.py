@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidalfed.operators.joins import latest
@@ -44,9 +43,28 @@ def newest_rows(spark: SparkSession, path: str, schema: T.StructType,
     return latest(rows, list(keys), ["batch_id"]).select(*columns)
 
 
-def batches_before(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
-    """Rows of all earlier batches of a table written batch by batch; none at the start."""
-    if batch_id == 0:
-        return spark.createDataFrame([], f"{schema}, batch_id bigint")
-    stored = spark.read.schema(f"{schema}, batch_id bigint").parquet(path)
-    return stored.filter(F.col("batch_id") < batch_id)
+class BatchTable:
+    """A table written by ``foreachBatch``, one folder per batch number."""
+
+    def __init__(self, path: str, schema: str) -> None:
+        self.path = path
+        self.schema = schema
+
+    def write(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Write a batch's rows, replacing those of an earlier attempt, and read them back."""
+        columns = [part.split()[0] for part in self.schema.split(", ")]
+        rows.select(*columns).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        return self._batch(rows.sparkSession, batch_id)
+
+    def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The rows of the batch before; none at the start."""
+        if batch_id == 0:
+            return spark.createDataFrame([], self.schema)
+        return self._batch(spark, batch_id - 1)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """All batches, with their numbers."""
+        return spark.read.schema(f"{self.schema}, batch_id bigint").parquet(self.path)
+
+    def _batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        return spark.read.schema(self.schema).parquet(f"{self.path}/batch_id={batch_id}")

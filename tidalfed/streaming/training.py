@@ -12,80 +12,83 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidalfed import settings as S
 from tidalfed.operators.fedavg import fedavg_vector
-from tidalfed.operators.joins import latest
 from tidalfed.operators.sequential import REPORT, Learner
 from tidalfed.operators.training import evaluate, sgd_step
 from tidalfed.streaming.rounds import MODEL
-from tidalfed.streaming.run import batches_before
+from tidalfed.streaming.run import BatchTable
 
 NODE = ("model_id string, node_id int, weights array<double>, bias double, n_samples bigint, "
-        "loss double, accuracy double")
+        "loss double, accuracy double, batch bigint")
 
 
 class BatchTraining:
     """One step per node and micro-batch, then a round, then the next batch starts from it.
 
     Used as a ``foreachBatch`` function. The model table is the way back to the nodes:
-    every batch reads the newest global model of it. ``n_samples`` counts a node's rows
-    since its start and is not reset by a global model.
+    every batch starts from the newest global model in it. ``n_samples`` counts a node's
+    rows since its start and is not reset by a global model. A batch reads the tables of
+    the batch before only; they hold the newest row of every node and model.
     """
 
     def __init__(self, folder: str, features: Sequence[Column], rate: float = S.LEARNING_RATE,
                  min_nodes: int = S.NODES_PER_ROUND) -> None:
-        self.models = f"{folder}/models"
-        self.nodes = f"{folder}/nodes"
+        self.models = BatchTable(f"{folder}/models", MODEL)
+        self.nodes = BatchTable(f"{folder}/nodes", NODE)
         self.features = list(features)
         self.rate = rate
         self.min_nodes = min_nodes
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        known = self.nodes.before(spark, batch_id)
+        newest = self.models.before(spark, batch_id)
         if batch.isEmpty():
-            spark.createDataFrame([], NODE).write.mode("overwrite").parquet(
-                f"{self.nodes}/batch_id={batch_id}")
-            spark.createDataFrame([], MODEL).write.mode("overwrite").parquet(
-                f"{self.models}/batch_id={batch_id}")
+            self.nodes.write(known, batch_id)
+            self.models.write(newest, batch_id)
             return
         keys = ["model_id", "node_id"]
-        known = latest(batches_before(spark, self.nodes, NODE, batch_id), keys, ["batch_id"])
-        newest = latest(batches_before(spark, self.models, MODEL, batch_id), ["model_id"],
-                        ["round"]).select("model_id", F.col("weights").alias("_gw"),
-                                          F.col("bias").alias("_gb"), "round")
+        step = {"key": "node_id", "on": keys, "features": self.features}
+        start = self._start(batch, known, newest).checkpoint()
+        stepped = sgd_step(batch, start, rate=self.rate, **step).checkpoint()
+        scores = evaluate(batch, stepped, **step).select(*keys, "loss", "accuracy")
+        trained = (stepped.join(scores, keys).join(start.select(*keys, "_before"), keys)
+                   .withColumn("n_samples", F.col("n_samples") + F.col("_before"))
+                   .withColumn("batch", F.lit(batch_id)).drop("_before").checkpoint())
+        idle = known.join(trained.select(*keys), keys, "left_anti")
+        self.nodes.write(trained.unionByName(idle), batch_id)
+
+        done = newest.select("model_id", "round")
+        models = (fedavg_vector(trained, ["model_id"])
+                  .filter(F.col("updates") >= self.min_nodes)
+                  .join(done, "model_id", "left")
+                  .withColumn("round", F.coalesce("round", F.lit(0)) + 1)).checkpoint()
+        kept = newest.join(models.select("model_id"), "model_id", "left_anti")
+        self.models.write(models.unionByName(kept), batch_id)
+
+    def _start(self, batch: DataFrame, known: DataFrame, newest: DataFrame) -> DataFrame:
+        """The model each node of the batch starts from: global, else its own, else zero."""
+        keys = ["model_id", "node_id"]
         zero = F.array_repeat(F.lit(0.0), len(self.features))
-        start = (batch.select(*keys).distinct().join(known, keys, "left")
-                 .join(newest, "model_id", "left")
-                 .select(*keys, F.coalesce("_gw", "weights", zero).alias("weights"),
-                         F.coalesce("_gb", "bias", F.lit(0.0)).alias("bias"),
-                         F.coalesce("n_samples", F.lit(0)).alias("_before"),
-                         F.coalesce("round", F.lit(0)).alias("_round")).checkpoint())
-        stepped = sgd_step(batch, start, key="node_id", on=keys, features=self.features,
-                           rate=self.rate).checkpoint()
-        scores = evaluate(batch, stepped, key="node_id", on=keys, features=self.features)
-        trained = (stepped.join(scores.select(*keys, "loss", "accuracy"), keys)
-                   .join(start.select(*keys, "_before"), keys)
-                   .withColumn("n_samples", F.col("n_samples") + F.col("_before")))
-        columns = [part.split()[0] for part in NODE.split(", ")]
-        trained.select(*columns).write.mode("overwrite").parquet(
-            f"{self.nodes}/batch_id={batch_id}")
-        local = spark.read.schema(NODE).parquet(f"{self.nodes}/batch_id={batch_id}")
-        rounds = start.groupBy("model_id").agg((F.max("_round") + 1).alias("round"))
-        models = fedavg_vector(local, ["model_id"]).filter(
-            F.col("updates") >= self.min_nodes).join(rounds, "model_id")
-        models.write.mode("overwrite").parquet(f"{self.models}/batch_id={batch_id}")
+        models = newest.select("model_id", F.col("weights").alias("_gw"),
+                               F.col("bias").alias("_gb"))
+        return (batch.select(*keys).distinct().join(known, keys, "left")
+                .join(models, "model_id", "left")
+                .select(*keys, F.coalesce("_gw", "weights", zero).alias("weights"),
+                        F.coalesce("_gb", "bias", F.lit(0.0)).alias("bias"),
+                        F.coalesce("n_samples", F.lit(0)).alias("_before")))
 
 
 def train_by_batch(readings: DataFrame, folder: str, features: Sequence[Column],
                    rate: float = S.LEARNING_RATE,
                    min_nodes: int = S.NODES_PER_ROUND) -> tuple[DataFrame, DataFrame]:
-    """Work through the available readings; gives the tables of models and of node updates."""
+    """Work through the available readings; gives the models and the nodes at each batch."""
     job = BatchTraining(folder, features, rate, min_nodes)
     query = (readings.writeStream.foreachBatch(job)
              .option("checkpointLocation", f"{folder}/checkpoint")
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    reader = readings.sparkSession.read
-    return (reader.schema(f"{MODEL}, batch_id bigint").parquet(job.models),
-            reader.schema(f"{NODE}, batch_id bigint").parquet(job.nodes))
+    spark = readings.sparkSession
+    return job.models.read(spark), job.nodes.read(spark)
 
 
 UPDATE = f"edge_id string, lane int, {REPORT}"
@@ -94,9 +97,10 @@ UPDATE = f"edge_id string, lane int, {REPORT}"
 class EdgeModel(StatefulProcessor):
     """The model of one entity (or of one lane of it) between micro-batches.
 
-    Trains whenever ``every`` further readings have come, in order of event time within
-    what a batch brings, and adopts global models as they arrive. With ``publish_ms`` the
-    current model is also reported by a processing-time timer.
+    Trains whenever ``every`` further readings have come, and adopts global models as they
+    come. Messages count in the order they arrive, as from a topic; those of one Arrow batch
+    are put in order of event time. With ``publish_ms`` the current model is also reported
+    by a processing-time timer.
     """
 
     def __init__(self, features: int, every: int, buffer_rows: int, rate: float, alpha: float,
@@ -165,7 +169,10 @@ class EdgeModel(StatefulProcessor):
     def _store(self, learner: Learner) -> None:
         self.model.update((learner.weights.tolist(), learner.bias, learner.round,
                            learner.initialized, learner.total_samples, learner.anomalies))
-        self.waiting.put([([float(v) for v in x], y) for x, y in learner.rows])
+        if learner.rows:
+            self.waiting.put([([float(v) for v in x], y) for x, y in learner.rows])
+        else:
+            self.waiting.clear()
 
 
 def train_by_entity(readings: DataFrame, features: Sequence[Column], *,
