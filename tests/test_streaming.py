@@ -146,12 +146,13 @@ def test_rounds_by_window_equal_the_batch_average(spark, small, tmp_path):
     stream = slices(spark, updates, str(tmp_path / "updates"), 4, "event_time")
     models = run_to_table(rounds_by_window(stream), str(tmp_path / "run"))
     windows = rollup.windowed(updates)
-    want = {r.window.start: r for r in fedavg_vector(windows, ["window"]).collect()}
+    want = {(r.window.start, r.model_id): r
+            for r in fedavg_vector(windows, ["window", "model_id"]).collect()}
     got = models.collect()
     last = updates.agg(F.max("event_time")).first()[0] - dt.timedelta(seconds=10)
-    assert len(got) == sum(1 for r in want if r + dt.timedelta(seconds=30) <= last)
+    assert len(got) == sum(1 for at, _ in want if at + dt.timedelta(seconds=30) <= last)
     for row in got:
-        same = want[row.window_start]
+        same = want[row.window_start, row.model_id]
         assert row.weights == pytest.approx(same.weights)
         assert (row.total_samples, row.updates) == (same.total_samples, same.updates)
 
@@ -294,7 +295,7 @@ def test_timer_publishes_trained_models(spark, tmp_path):
 
 
 def test_batch_training_carries_models_and_counts(spark, small, tmp_path):
-    machine = tables.machine(spark, small).cache()
+    machine = tables.machine(spark, small).withColumn("model_id", F.lit("plant")).cache()
     stream = slices(spark, machine, str(tmp_path / "machine"), 3, "l_orderkey")
     models, nodes = train_by_batch(stream, str(tmp_path / "run"), X.shift_scale(), rate=0.05)
     assert [r["round"] for r in models.orderBy("batch_id").collect()] == [1, 2, 3]

@@ -136,7 +136,7 @@ def test_seeded_start_weights(spark):
 
 
 def test_rounds_lower_the_loss(spark, small, tmp_path):
-    machine = tables.machine(spark, small)
+    machine = tables.machine(spark, small).withColumn("model_id", F.lit("plant"))
     models = T.federated_rounds(spark, machine, str(tmp_path / "models"), rounds=4,
                                 key="node_id", features=X.shift_scale(), rate=0.005)
     losses = [r.weighted_loss for r in models.orderBy("round").collect()]

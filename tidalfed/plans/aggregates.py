@@ -103,11 +103,12 @@ def fedavg_matrix(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""{views("cells")},
 regional AS (
-    SELECT round, region, pos, sum(n_samples * w) / sum(n_samples) AS w, sum(n_samples) AS n
-    FROM cells GROUP BY round, region, pos)
-SELECT 'grid' AS model_id, round, CAST(sum(n) AS BIGINT) AS total_samples, count(*) AS updates,
+    SELECT model_id, round, region, pos, sum(n_samples * w) / sum(n_samples) AS w,
+           sum(n_samples) AS n
+    FROM cells GROUP BY model_id, round, region, pos)
+SELECT model_id, round, CAST(sum(n) AS BIGINT) AS total_samples, count(*) AS updates,
        CAST(pos AS INTEGER) AS pos, {sql6("sum(n * w) / sum(n)")} AS value
-FROM regional GROUP BY round, pos""")
+FROM regional GROUP BY model_id, round, pos""")
 def fedavg_hierarchical(spark: SparkSession, folder: str) -> DataFrame:
     """Global model of each round, averaged within regions and then over them."""
     models = A.fedavg_hierarchical(tables.updates(spark, folder), ["model_id", "round"])
@@ -246,12 +247,12 @@ def classification_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""{views("cells")},
-rounds AS (SELECT round, sum(n_samples * loss) / sum(n_samples) AS loss,
-                  max(event_time) AS event_time FROM updates GROUP BY round),
-ends AS (SELECT count(*) AS rounds, arg_min(loss, round) AS first_loss,
+rounds AS (SELECT model_id, round, sum(n_samples * loss) / sum(n_samples) AS loss,
+                  max(event_time) AS event_time FROM updates GROUP BY model_id, round),
+ends AS (SELECT model_id, count(*) AS rounds, arg_min(loss, round) AS first_loss,
                 arg_max(loss, round) AS last_loss, min(event_time) AS first_time,
-                max(event_time) AS last_time FROM rounds)
-SELECT 'grid' AS model_id, rounds,
+                max(event_time) AS last_time FROM rounds GROUP BY model_id)
+SELECT model_id, rounds,
        strftime(first_time, '%Y-%m-%dT%H:%M:%S.%fZ') AS first_timestamp,
        strftime(last_time, '%Y-%m-%dT%H:%M:%S.%fZ') AS last_timestamp,
        {sql6("first_loss")} AS first_loss, {sql6("last_loss")} AS last_loss,

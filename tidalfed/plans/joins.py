@@ -53,16 +53,19 @@ def _three_weights(updates: DataFrame) -> DataFrame:
 
 LATEST_SCORES = f"""{views("readings", "cells")},
 newest AS (
-    SELECT pos, sum(n_samples * w) / sum(n_samples) AS w FROM cells
-    WHERE round = (SELECT max(round) FROM updates) AND pos IN (0, 1, 2, 64) GROUP BY pos),
-model AS (SELECT max(w) FILTER (pos = 0) AS w0, max(w) FILTER (pos = 1) AS w1,
-                 max(w) FILTER (pos = 2) AS w2, max(w) FILTER (pos = 64) AS b FROM newest),
+    SELECT model_id, pos, sum(n_samples * w) / sum(n_samples) AS w
+    FROM cells JOIN (SELECT model_id, max(round) AS round FROM updates GROUP BY model_id)
+        USING (model_id, round)
+    WHERE pos IN (0, 1, 2, 64) GROUP BY model_id, pos),
+model AS (SELECT model_id, max(w) FILTER (pos = 0) AS w0, max(w) FILTER (pos = 1) AS w1,
+                 max(w) FILTER (pos = 2) AS w2, max(w) FILTER (pos = 64) AS b
+          FROM newest GROUP BY model_id),
 scored AS (
     SELECT event_id, edge_id,
            1e0 / (1e0 + exp(-greatest(-500e0, least(500e0,
                w0 * (voltage - 230e0) / 5e0 + w1 * (current - 10e0) / 2e0
                + w2 * (voltage * current - 2300e0) / 10e0 + b)))) AS p
-    FROM readings, model)
+    FROM readings JOIN model USING (model_id))
 SELECT event_id, edge_id, {sql6("p")} AS probability, p > 0.5e0 AS anomaly FROM scored"""
 
 

@@ -101,7 +101,8 @@ def stream_sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""{views("readings", "updates")}
-SELECT 'model' AS kind, 'global_model' AS topic, count(DISTINCT round) AS messages FROM updates
+SELECT 'model' AS kind, 'global_model' AS topic, count(DISTINCT model_id || round) AS messages
+FROM updates
 UNION ALL SELECT 'metrics', 'global_metrics', count(DISTINCT round) FROM updates
 UNION ALL SELECT 'reading', 'sensor_data', count(*) FROM readings""")
 def demux_messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -179,7 +180,8 @@ FROM means GROUP BY round, total_samples, participants"""
 def _log_lines(updates: DataFrame) -> DataFrame:
     nodes = updates.select("round", F.col("node_id").cast("string").alias("node_id"))
     members = participants(nodes, ["round"], "node_id")
-    models = round_models(updates).join(members, "round")
+    times = updates.groupBy("round").agg(F.max("event_time").alias("event_time"))
+    models = fedavg_vector(updates, ["round"]).join(times, "round").join(members, "round")
     return log_rows(models.select(
         "round", X.iso_text("event_time").alias("timestamp"), "weighted_loss",
         "total_samples", F.col("participants").alias("participating_nodes"), "weights", "page"))

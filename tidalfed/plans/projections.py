@@ -64,11 +64,12 @@ def feat_power(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""{views("cells")},
-global_model AS (SELECT pos, sum(n_samples * w) / sum(n_samples) AS g FROM cells GROUP BY pos)
+global_model AS (SELECT model_id, pos, sum(n_samples * w) / sum(n_samples) AS g
+                 FROM cells GROUP BY model_id, pos)
 SELECT node_id, {sql6("sum(w * g) FILTER (pos < 64) + max(g) FILTER (pos = 64)")} AS score
-FROM cells JOIN global_model USING (pos) GROUP BY node_id""")
+FROM cells JOIN global_model USING (model_id, pos) GROUP BY node_id""")
 def score_linear(spark: SparkSession, folder: str) -> DataFrame:
-    """Vectors of any length scored with the average of all of them."""
+    """Vectors of any length scored with their model's average."""
     updates = tables.updates(spark, folder)
     model = fedavg_vector(updates, ["model_id"]).select(
         "model_id", F.col("weights").alias("_w"), F.col("bias").alias("_b"))

@@ -58,7 +58,9 @@ def long_model(models: DataFrame, *keys: str, parts: tuple[str, ...] = ("bias",
 # The views of tidalfed.sources.tables, in the oracle's dialect.
 VIEWS = {
     "readings": """
-        SELECT event_id, 'grid' AS model_id, 'village_' || (user_id % 4 + 1) AS edge_id,
+        SELECT event_id,
+               CASE WHEN user_id % 4 IN (0, 1) THEN 'grid_a' ELSE 'grid_b' END AS model_id,
+               'village_' || (user_id % 4 + 1) AS edge_id,
                CASE WHEN user_id % 4 IN (0, 1) THEN 'north' ELSE 'south' END AS region,
                user_id, ts AS event_time,
                230e0 + (value - 50e0) / 10e0 AS voltage,
@@ -67,7 +69,8 @@ VIEWS = {
                CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS label
         FROM events""",
     "updates": """
-        SELECT 'grid' AS model_id, vec_id AS node_id, 'edge_' || vec_id AS edge_id,
+        SELECT CASE WHEN label % 2 = 0 THEN 'grid_a' ELSE 'grid_b' END AS model_id,
+               vec_id AS node_id, 'edge_' || vec_id AS edge_id,
                'r' || label AS region, CAST(vec_id // 100 AS INTEGER) AS round,
                embedding::DOUBLE[] AS weights, (vec_id % 11)::DOUBLE / 10e0 AS bias,
                vec_id % 97 + 1 AS n_samples, 1e0 / (1e0 + vec_id % 7) AS loss,
@@ -75,7 +78,7 @@ VIEWS = {
                TIMESTAMP '2024-01-01' + to_seconds(vec_id) AS event_time
         FROM embeddings""",
     "machine": """
-        SELECT l_orderkey, l_linenumber, 'plant' AS model_id,
+        SELECT l_orderkey, l_linenumber, 'plant_' || (l_partkey % 2 + 1) AS model_id,
                CAST(l_suppkey % 2 + 1 AS INTEGER) AS node_id,
                'sensor_' || (l_suppkey % 2 + 1) || '_' || (l_partkey % 5 + 1) AS sensor_id,
                l_quantity AS vibration_x, l_discount AS vibration_y, l_tax AS vibration_z,

@@ -9,13 +9,12 @@ from tidalfed import settings as S
 from tidalfed.functions import features as X
 from tidalfed.operators import rollup
 from tidalfed.operators.fedavg import fedavg_vector
-from tidalfed.operators.joins import region_dimension
 from tidalfed.plans.joins import (
     LATEST_SCORES, newest_global_models, scored_readings)
 from tidalfed.plans.aggregates import ALERTS
 from tidalfed.operators.monitor import anomaly_alerts
 from tidalfed.plans.registry import long_model, plain_time, query, r6, sql6, views
-from tidalfed.plans.training import STEPS, _sql_long
+from tidalfed.plans.training import BY_PLANT, _sql_long
 from tidalfed.session import run_folder
 from tidalfed.sources import tables
 from tidalfed.sources.topics import table_stream
@@ -111,7 +110,7 @@ def stream_chained_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""{views("cells")}
-SELECT time_bucket(INTERVAL 30 SECOND, event_time) AS window_start,
+SELECT model_id, time_bucket(INTERVAL 30 SECOND, event_time) AS window_start,
        time_bucket(INTERVAL 30 SECOND, event_time) + INTERVAL 30 SECOND AS window_end,
        CAST(sum(n_samples) AS BIGINT) AS total_samples, count(*) AS updates,
        CAST(pos AS INTEGER) AS pos, {sql6("sum(n_samples * w) / sum(n_samples)")} AS value
@@ -122,7 +121,7 @@ def stream_window_rounds(spark: SparkSession, folder: str) -> DataFrame:
     """A round for each 30-second window, published when the watermark closes it."""
     models = run_to_table(rounds_by_window(_updates(spark, folder)),
                           run_folder(spark, "windowrounds"))
-    return _plain(long_model(models, "window_start", "window_end"))
+    return _plain(long_model(models, "model_id", "window_start", "window_end"))
 
 
 @query(f"{ALERTS} AND window_start + INTERVAL 1 DAY <= "
@@ -168,7 +167,7 @@ def stream_edge_training(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def stream_feedback(spark: SparkSession, folder: str) -> DataFrame:
     """Entities train on their readings and adopt global models as these come in."""
-    known = region_dimension(spark).withColumn("model_id", F.lit(tables.MODEL))
+    known = tables.readings(spark, folder).select("model_id", "edge_id").distinct()
     models = tables.as_updates(table_stream(spark, folder, "embeddings")).select(
         "model_id", F.expr("timestamp_seconds(1704067200 + node_id * 3600)").alias("event_time"),
         F.slice("weights", 1, 3).alias("weights"), "bias")
@@ -177,10 +176,10 @@ def stream_feedback(spark: SparkSession, folder: str) -> DataFrame:
     return run_to_table(rows, run_folder(spark, "feedback"))
 
 
-@query(STEPS + _sql_long("step1", "node_id, n_samples"))
+@query(BY_PLANT + _sql_long("step", "model_id, node_id, n_samples"))
 def stream_batch_training(spark: SparkSession, folder: str) -> DataFrame:
     """A step of each machine node per micro-batch (the table comes as one batch)."""
     stream = tables.as_machine(table_stream(spark, folder, "lineitem"))
     _, nodes = train_by_batch(stream, run_folder(spark, "training"), X.shift_scale())
     last = nodes.filter(F.col("batch") == F.col("batch_id"))
-    return long_model(last, "node_id", "n_samples", parts=("bias",), extra=())
+    return long_model(last, "model_id", "node_id", "n_samples", parts=("bias",), extra=())

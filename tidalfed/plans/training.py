@@ -18,26 +18,26 @@ RATE = 0.01
 
 # Machine features with the oracle's names.
 MACHINE_X = """
-    SELECT node_id, label::DOUBLE AS y, vibration_x - 0.5e0 AS x0, vibration_y - 0.5e0 AS x1,
+    SELECT model_id, node_id, label::DOUBLE AS y, vibration_x - 0.5e0 AS x0, vibration_y - 0.5e0 AS x1,
            vibration_z - 0.5e0 AS x2, (temperature - 65e0) / 20e0 AS x3,
            (pressure - 100e0) / 30e0 AS x4
     FROM machine"""
 
 
-def _sql_gradient(source: str, model: str) -> str:
-    """Gradient of each node at the model rows (node_id, w0..w4, b) of ``model``."""
+def _sql_gradient(source: str, model: str, keys: str = "node_id") -> str:
+    """Gradient of each node at the model rows (keys, w0..w4, b) of ``model``."""
     z = " + ".join(f"w{j} * x{j}" for j in range(5)) + " + b"
     p = f"1e0 / (1e0 + exp(-greatest(-500e0, least(500e0, {z}))))"
     sums = ", ".join(f"avg(x{j} * e) AS g{j}" for j in range(5))
     held = ", ".join(f"any_value(w{j}) AS w{j}" for j in range(5))
-    return (f"SELECT node_id, count(*) AS n_samples, {sums}, avg(e) AS gb, {held}, "
+    return (f"SELECT {keys}, count(*) AS n_samples, {sums}, avg(e) AS gb, {held}, "
             f"any_value(b) AS b FROM (SELECT *, {p} - y AS e FROM {source} "
-            f"JOIN {model} USING (node_id)) GROUP BY node_id")
+            f"JOIN {model} USING ({keys})) GROUP BY {keys}")
 
 
-def _sql_step(gradient: str) -> str:
+def _sql_step(gradient: str, keys: str = "node_id") -> str:
     moved = ", ".join(f"w{j} - {RATE}e0 * g{j} AS w{j}" for j in range(5))
-    return f"SELECT node_id, n_samples, {moved}, b - {RATE}e0 * gb AS b FROM {gradient}"
+    return f"SELECT {keys}, n_samples, {moved}, b - {RATE}e0 * gb AS b FROM {gradient}"
 
 
 def _sql_long(model: str, keys: str) -> str:
@@ -123,30 +123,34 @@ def train_metrics(spark: SparkSession, folder: str) -> DataFrame:
 def _sql_round(number: int) -> str:
     """Every node steps from the model before, and the steps are averaged."""
     before, moved = f"global{number - 1}", f"local{number}"
-    gradient = _sql_gradient("features", f"(SELECT * FROM nodes, {before})")
+    keys = "model_id, node_id"
+    gradient = _sql_gradient("features", f"(SELECT * FROM nodes JOIN {before} USING (model_id))",
+                             keys)
     means = ", ".join(f"sum(n_samples * w{j}) / sum(n_samples) AS w{j}" for j in range(5))
     return f"""
-slope_{number} AS ({gradient}), {moved} AS ({_sql_step(f"slope_{number}")}),
-global{number} AS (SELECT {means}, sum(n_samples * b) / sum(n_samples) AS b FROM {moved})"""
+slope_{number} AS ({gradient}), {moved} AS ({_sql_step(f"slope_{number}", keys)}),
+global{number} AS (SELECT model_id, {means}, sum(n_samples * b) / sum(n_samples) AS b
+                   FROM {moved} GROUP BY model_id)"""
 
 
 FEDERATED = f"""{views("machine")},
 features AS ({MACHINE_X}),
-nodes AS (SELECT DISTINCT node_id FROM machine),
-global0 AS (SELECT 0e0 AS w0, 0e0 AS w1, 0e0 AS w2, 0e0 AS w3, 0e0 AS w4, 0e0 AS b),
+nodes AS (SELECT DISTINCT model_id, node_id FROM machine),
+global0 AS (SELECT DISTINCT model_id, 0e0 AS w0, 0e0 AS w1, 0e0 AS w2, 0e0 AS w3, 0e0 AS w4,
+                            0e0 AS b FROM machine),
 {_sql_round(1)},{_sql_round(2)},
 tagged AS (SELECT 0 AS round, * FROM global0 UNION ALL SELECT 1, * FROM global1
            UNION ALL SELECT 2, * FROM global2)
 """
 
 
-@query(FEDERATED + _sql_long("tagged", "round"))
+@query(FEDERATED + _sql_long("tagged", "model_id, round"))
 def federated_rounds(spark: SparkSession, folder: str) -> DataFrame:
     """Two rounds of local steps and averaging."""
     machine = tables.machine(spark, folder)
     models = T.federated_rounds(spark, machine, run_folder(spark, "models"), rounds=2,
                                 key="node_id", features=X.shift_scale(), rate=RATE)
-    return _long(models, "round")
+    return _long(models, "model_id", "round")
 
 
 @query("""
@@ -158,6 +162,15 @@ def init_weights(spark: SparkSession, folder: str) -> DataFrame:
     return _long(T.initial_models(tables.machine(spark, folder), "node_id", 5), "node_id")
 
 
+BY_PLANT = f"""{views("machine")},
+features AS ({MACHINE_X}),
+start AS (SELECT DISTINCT model_id, node_id, 0e0 AS w0, 0e0 AS w1, 0e0 AS w2, 0e0 AS w3,
+                          0e0 AS w4, 0e0 AS b FROM machine),
+slope AS ({_sql_gradient("features", "start", "model_id, node_id")}),
+step AS ({_sql_step("slope", "model_id, node_id")})
+"""
+
+
 @query()
 def init_weights_seeded(spark: SparkSession, folder: str) -> DataFrame:
     """Small normal start weights that depend on node, position and seed only."""
@@ -176,10 +189,10 @@ def sgd_sequential(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def sgd_sequential_global(spark: SparkSession, folder: str) -> DataFrame:
     """The entities' sequential models averaged by the samples they trained on."""
-    updates = train_sequential(tables.readings(spark, folder),
+    keys = ["model_id", "edge_id"]
+    updates = train_sequential(tables.readings(spark, folder), keys=keys,
                                features=X.zscore("voltage", "current"))
-    models = last_models(updates).withColumn("model_id", F.lit(tables.MODEL))
-    return fedavg_vector(models, ["model_id"], loss=None)
+    return fedavg_vector(last_models(updates, keys), ["model_id"], loss=None)
 
 
 @query(f"""{views("readings")},

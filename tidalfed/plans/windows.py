@@ -57,11 +57,11 @@ def samples_trained(spark: SparkSession, folder: str) -> DataFrame:
 
 MINUTES = f"""{views("updates")},
 rounds AS (
-    SELECT CAST(epoch(event_time) - 1704067200 AS BIGINT) // 20 AS round,
+    SELECT model_id, CAST(epoch(event_time) - 1704067200 AS BIGINT) // 20 AS round,
            sum(n_samples * loss) / sum(n_samples) AS loss,
            CAST(sum(n_samples) AS BIGINT) AS total_samples,
            CAST(sum(anomalies) AS BIGINT) AS anomalies
-    FROM updates GROUP BY 1)
+    FROM updates GROUP BY 1, 2)
 """
 
 
@@ -75,11 +75,11 @@ def short_rounds(updates: DataFrame) -> DataFrame:
 
 
 @query(MINUTES + f"""
-SELECT 'grid' AS model_id, 0 AS page, min(round) AS first_round, max(round) AS last_round,
+SELECT model_id, 0 AS page, min(round) AS first_round, max(round) AS last_round,
        count(*) AS rounds,
        string_agg(CAST(CAST(round(loss * 1000) AS BIGINT) AS VARCHAR), ',' ORDER BY round)
            AS losses
-FROM rounds""")
+FROM rounds GROUP BY model_id""")
 def loss_history(spark: SparkSession, folder: str) -> DataFrame:
     """All losses of a model, oldest first (in thousandths)."""
     history = rounds.loss_history(short_rounds(tables.updates(spark, folder)))
@@ -90,9 +90,11 @@ def loss_history(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(MINUTES + f"""
-SELECT 'grid' AS model_id, CAST(row_number() OVER (ORDER BY round) - 1 AS INTEGER) AS pos,
+SELECT model_id,
+       CAST(row_number() OVER (PARTITION BY model_id ORDER BY round) - 1 AS INTEGER) AS pos,
        {sql6("loss")} AS loss
-FROM (SELECT * FROM rounds ORDER BY round DESC LIMIT 10)""")
+FROM (SELECT * FROM rounds
+      QUALIFY row_number() OVER (PARTITION BY model_id ORDER BY round DESC) <= 10)""")
 def loss_tail(spark: SparkSession, folder: str) -> DataFrame:
     """The last ten losses of a model."""
     tails = rounds.loss_tail(short_rounds(tables.updates(spark, folder)))
@@ -101,10 +103,10 @@ def loss_tail(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(MINUTES + f"""
-SELECT 'grid' AS model_id, round, {sql6("loss")} AS weighted_loss,
-       {sql6('''coalesce((loss - min(loss) OVER ())
-             / nullif(max(loss) OVER () - min(loss) OVER (), 0), 0)''')} AS scaled_loss
-FROM rounds""")
+SELECT model_id, round, {sql6("loss")} AS weighted_loss,
+       {sql6("""coalesce((loss - min(loss) OVER m)
+             / nullif(max(loss) OVER m - min(loss) OVER m, 0), 0)""")} AS scaled_loss
+FROM rounds WINDOW m AS (PARTITION BY model_id)""")
 def loss_minmax(spark: SparkSession, folder: str) -> DataFrame:
     """Losses scaled over all rounds of a model."""
     scaled = monitor.loss_minmax(short_rounds(tables.updates(spark, folder)))
@@ -113,8 +115,8 @@ def loss_minmax(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(MINUTES + f"""
-SELECT 'grid' AS model_id, round, total_samples, {sql6("loss")} AS weighted_loss
-FROM rounds ORDER BY round DESC LIMIT 20""")
+SELECT model_id, round, total_samples, {sql6("loss")} AS weighted_loss
+FROM rounds QUALIFY row_number() OVER (PARTITION BY model_id ORDER BY round DESC) <= 20""")
 def last_rounds(spark: SparkSession, folder: str) -> DataFrame:
     """The newest twenty rounds."""
     shown = rounds.last_rounds(short_rounds(tables.updates(spark, folder)))
@@ -123,8 +125,8 @@ def last_rounds(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(MINUTES + """
-SELECT 'grid' AS model_id, round, total_samples, anomalies AS anomalies_detected
-FROM rounds ORDER BY round DESC LIMIT 100""")
+SELECT model_id, round, total_samples, anomalies AS anomalies_detected
+FROM rounds QUALIFY row_number() OVER (PARTITION BY model_id ORDER BY round DESC) <= 100""")
 def metrics_history(spark: SparkSession, folder: str) -> DataFrame:
     """The newest hundred metric rows."""
     kept = rounds.metrics_history(short_rounds(tables.updates(spark, folder)))
@@ -132,8 +134,8 @@ def metrics_history(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(MINUTES + """
-SELECT 'grid' AS model_id, round, 'total_samples' AS series, total_samples AS value FROM rounds
-UNION ALL SELECT 'grid', round, 'anomalies_detected', anomalies FROM rounds""")
+SELECT model_id, round, 'total_samples' AS series, total_samples AS value FROM rounds
+UNION ALL SELECT model_id, round, 'anomalies_detected', anomalies FROM rounds""")
 def rounds_timeline(spark: SparkSession, folder: str) -> DataFrame:
     """Samples and anomalies over the rounds."""
     return rounds.rounds_timeline(short_rounds(tables.updates(spark, folder)))
@@ -144,13 +146,12 @@ windows AS (SELECT region, time_bucket(INTERVAL 30 SECOND, event_time) AS window
                    CAST(sum(n_samples) AS BIGINT) AS total_n_samples
             FROM updates GROUP BY ALL)
 SELECT region, window_start, total_n_samples,
-       dense_rank() OVER (ORDER BY window_start) AS round
+       dense_rank() OVER (PARTITION BY region ORDER BY window_start) AS round
 FROM windows""")
 def round_number(spark: SparkSession, folder: str) -> DataFrame:
-    """Published windows numbered in order."""
-    windows = rollup.regional_totals(tables.updates(spark, folder)).withColumn(
-        "model_id", F.lit(tables.MODEL))
-    numbered = rounds.round_numbers(windows)
+    """The published windows of each region numbered in order."""
+    numbered = rounds.round_numbers(rollup.regional_totals(tables.updates(spark, folder)),
+                                    ["region"])
     return numbered.select("region", plain_time("window_start").alias("window_start"),
                            "total_n_samples", "round")
 

@@ -5,20 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MODEL = "grid"
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def as_readings(events: DataFrame) -> DataFrame:
-    """Electric readings of four entities in two regions."""
+    """Electric readings of four entities in two regions; each region has its model."""
     lane = F.col("user_id") % 4
     k = F.get_json_object("props", "$.k").cast("int")
     return events.select(
         "event_id",
-        F.lit(MODEL).alias("model_id"),
+        F.when(lane.isin(0, 1), "grid_a").otherwise("grid_b").alias("model_id"),
         F.concat(F.lit("village_"), (lane + 1).cast("string")).alias("edge_id"),
         F.when(lane.isin(0, 1), "north").otherwise("south").alias("region"),
         "user_id",
@@ -30,10 +27,10 @@ def as_readings(events: DataFrame) -> DataFrame:
 
 
 def as_updates(embeddings: DataFrame) -> DataFrame:
-    """Model updates of ten regions, one per second, a hundred per round."""
+    """Updates of two models from ten regions, one per second, a hundred per round."""
     vec = F.col("vec_id")
     return embeddings.select(
-        F.lit(MODEL).alias("model_id"),
+        F.when(F.col("label") % 2 == 0, "grid_a").otherwise("grid_b").alias("model_id"),
         vec.alias("node_id"),
         F.concat(F.lit("edge_"), vec.cast("string")).alias("edge_id"),
         F.concat(F.lit("r"), F.col("label").cast("string")).alias("region"),
@@ -49,11 +46,11 @@ def as_updates(embeddings: DataFrame) -> DataFrame:
 
 
 def as_machine(lineitem: DataFrame) -> DataFrame:
-    """Five-feature readings of two machine nodes."""
+    """Five-feature readings of two machine nodes in each of two plants."""
     node = F.col("l_suppkey") % 2 + 1
     return lineitem.select(
         "l_orderkey", "l_linenumber",
-        F.lit("plant").alias("model_id"),
+        F.concat(F.lit("plant_"), (F.col("l_partkey") % 2 + 1).cast("string")).alias("model_id"),
         node.cast("int").alias("node_id"),
         F.concat_ws("_", F.lit("sensor"), node.cast("string"),
                     (F.col("l_partkey") % 5 + 1).cast("string")).alias("sensor_id"),
