@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tidalfed import settings as S
 from tidalfed.operators.ordered import position, running, top_per_key
-from tidalfed.operators.sizing import group_sizes, lookup, sized_broadcast
+from tidalfed.operators.sizing import group_sizes, key_counts, lookup, sized_broadcast
+from tidalfed.session import settled
 
 ORDER = ("event_time", "event_id")
 
@@ -22,9 +23,9 @@ def count_batches(readings: DataFrame, keys: Sequence[str] = ("edge_id",),
     ``complete`` is false for the rows of a last batch that is not full yet.
     """
     keys = list(keys)
-    numbered = position(readings, keys, order, "position", group_rows)
-    totals = readings.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    joined = lookup(numbered, sized_broadcast(totals), keys)
+    counts = settled(key_counts(readings, keys))
+    numbered = position(readings, keys, order, "position", group_rows, counts)
+    joined = lookup(numbered, sized_broadcast(counts), keys)
     full = F.expr(f"_rows div {size}") * size
     return joined.select(
         *numbered.columns,

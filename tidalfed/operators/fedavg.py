@@ -164,7 +164,7 @@ def contributions(updates: DataFrame, round_keys: Sequence[str], node: str = "no
     """
     totals = (updates.groupBy(*round_keys).agg(F.sum(samples).alias("_round_samples"))
               .filter(F.col("_round_samples") > 0))
-    return updates.join(sized_broadcast(totals), list(round_keys)).select(
+    return updates.join(sized_broadcast(totals, computed=True), list(round_keys)).select(
         *round_keys, node, F.col(samples).cast("bigint").alias("samples"),
         (F.col(samples) / F.col("_round_samples")).alias("weight_factor"),
         with_default(loss, 0.0).alias("loss"),

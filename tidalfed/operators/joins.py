@@ -47,7 +47,7 @@ def with_latest_model(readings: DataFrame, models: DataFrame, key: str = "model_
     """
     newest = latest(models.select(key, round_column, "weights", "bias"), [key], [round_column])
     renamed = newest.select(key, F.col("weights").alias("_weights"), F.col("bias").alias("_bias"))
-    joined = readings.join(sized_broadcast(renamed), key, "left")
+    joined = readings.join(sized_broadcast(renamed, computed=True), key, "left")
     parts = {}
     for part in ("weights", "bias"):
         update = F.col(f"_{part}")

@@ -44,7 +44,7 @@ def node_stats(rounds: DataFrame, members: DataFrame, node: str = "node_id") ->
     shares = rounds.join(sizes, "round").select(
         "round", F.expr("total_samples div _members").alias("_share"),
         F.coalesce("weighted_loss", F.lit(0.0)).alias("_loss"))
-    return members.join(sized_broadcast(shares), "round").groupBy(node).agg(
+    return members.join(sized_broadcast(shares, computed=True), "round").groupBy(node).agg(
         F.count(F.lit(1)).alias("contributions"),
         F.max_by("_share", "round").alias("total_samples"),
         F.max_by("_loss", "round").alias("last_loss"))
@@ -71,7 +71,7 @@ def loss_minmax(rounds: DataFrame, keys: Sequence[str] = ("model_id",),
     bounds = rounds.groupBy(*keys).agg(F.min(loss).alias("_low"), F.max(loss).alias("_high"))
     span = F.col("_high") - F.col("_low")
     scaled = F.coalesce(F.try_divide(F.col(loss) - F.col("_low"), span), F.lit(0.0))
-    joined = lookup(rounds, sized_broadcast(bounds), keys)
+    joined = lookup(rounds, sized_broadcast(bounds, computed=True), keys)
     return joined.withColumn("scaled_loss", scaled).drop("_low", "_high")
 
 

@@ -5,8 +5,8 @@ the whole job up. Here the largest key is counted first. While it is small the p
 window is used. Beyond the bound the rows are range-partitioned by (keys, order), which
 cuts a large key into consecutive segments of about equal size; each segment is scanned on
 its own, and what the earlier segments of the same key add up to is carried in by a join.
-The segment of a row must not change between the two uses, so the ranged rows are
-checkpointed to the shared folder.
+The segment of a row must not change between the two uses, nor when an executor is lost, so
+the ranged rows are written to the shared folder.
 """
 
 from __future__ import annotations
@@ -19,33 +19,36 @@ from pyspark.sql import functions as F
 
 from tidalfed import settings as S
 from tidalfed.operators.sizing import group_sizes, lookup, sized_broadcast
-from tidalfed.session import shared_folder
+from tidalfed.session import written
 
 SEGMENT = "_segment"
 
 
 def segmented(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-              group_rows: int = S.GROUP_ROWS) -> tuple[DataFrame, bool]:
-    """Add the segment number of each row; the flag tells whether any key was cut."""
-    largest, total = group_sizes(df, keys)
+              group_rows: int = S.GROUP_ROWS,
+              counts: DataFrame | None = None) -> tuple[DataFrame, bool]:
+    """Add the segment number of each row; the flag tells whether any key was cut.
+
+    ``counts`` are the key counts, where the caller has them already.
+    """
+    largest, total = group_sizes(df, keys, counts)
     if largest <= group_rows:
         return df.withColumn(SEGMENT, F.lit(0)), False
-    shared_folder(df.sparkSession)
     parts = -(-total // group_rows) + 1
     ranged = df.repartitionByRange(parts, *keys, *order)
-    return ranged.withColumn(SEGMENT, F.spark_partition_id()).checkpoint(), True
+    return written(ranged.withColumn(SEGMENT, F.spark_partition_id()), "segments"), True
 
 
 def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             sums: Mapping[str, Column] | None = None,
             last: Mapping[str, Column] | None = None,
-            group_rows: int = S.GROUP_ROWS) -> DataFrame:
+            group_rows: int = S.GROUP_ROWS, counts: DataFrame | None = None) -> DataFrame:
     """Add running sums and last non-null values, from a key's first row up to each row.
 
     ``order`` must be total within a key (end it with an id), or ties come in any order.
     """
     sums, last = dict(sums or {}), dict(last or {})
-    rows, cut = segmented(df, keys, order, group_rows)
+    rows, cut = segmented(df, keys, order, group_rows, counts)
     span = (W.partitionBy(*keys, SEGMENT).orderBy(*order)
             .rowsBetween(W.unboundedPreceding, W.currentRow))
     scanned = rows.select(
@@ -71,7 +74,7 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         *[F.last(name, ignorenulls=True).over(earlier).alias(f"_carry_{name}")
           for name in last],
     )
-    joined = lookup(scanned, sized_broadcast(carried), [*keys, SEGMENT], "left")
+    joined = lookup(scanned, sized_broadcast(carried, computed=True), [*keys, SEGMENT], "left")
     summed = [F.when(F.col(f"_carry_{n}").isNull(), F.col(n))
               .otherwise(F.coalesce(n, F.lit(0)) + F.col(f"_carry_{n}")).alias(n)
               for n in sums]
@@ -80,10 +83,10 @@ def running(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str,
-             group_rows: int = S.GROUP_ROWS) -> DataFrame:
+             group_rows: int = S.GROUP_ROWS, counts: DataFrame | None = None) -> DataFrame:
     """Number the rows of each key from 1 along the order."""
     return running(df, keys, order, sums={name: F.lit(1).cast("bigint")},
-                   group_rows=group_rows)
+                   group_rows=group_rows, counts=counts)
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidalfed import settings as S
 from tidalfed.operators.sizing import group_sizes, lookup, sized_broadcast
+from tidalfed.session import settled
 
 KEYS = ["window", "region"]
 
@@ -67,7 +68,7 @@ def regional_rollup(updates: DataFrame, duration: str = S.WINDOW,
         paged = rows.groupBy(*KEYS).agg(*lists, *measures).withColumn("page", F.lit(0))
         return _flatten(paged)
 
-    totals = rows.groupBy(*KEYS).agg(*measures)
+    totals = settled(rows.groupBy(*KEYS).agg(*measures))
     pages = F.ceil(F.col("num_updates") / F.lit(list_rows))
     salted = lookup(rows, sized_broadcast(totals), KEYS).withColumn("page", F.pmod(salt, pages).cast("int"))
     measured = [F.first(c).alias(c) for c in totals.columns if c not in KEYS]

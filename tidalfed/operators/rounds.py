@@ -59,7 +59,7 @@ def round_numbers(windows: DataFrame, keys: Sequence[str] = ("model_id",),
     """Number the published windows of each model from 1; rows of one window share it."""
     distinct = windows.select(*keys, start).distinct()
     numbered = position(distinct, list(keys), [start], "round")
-    return lookup(windows, sized_broadcast(numbered), [*keys, start])
+    return lookup(windows, sized_broadcast(numbered, computed=True), [*keys, start])
 
 
 def loss_history(rounds: DataFrame, keys: Sequence[str] = ("model_id",), order: str = "round",

@@ -9,12 +9,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidalfed import settings as S
+from tidalfed.session import settled
 
 
-def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of each key, as ``_rows``."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def group_sizes(df: DataFrame, keys: Sequence[str],
+                counts: DataFrame | None = None) -> tuple[int, int]:
     """Rows of the largest group and of the whole table, from one pre-aggregated pass."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    row = sizes.agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first()
+    sizes = key_counts(df, keys) if counts is None else counts
+    row = sizes.agg(F.max("_rows").alias("largest"), F.sum("_rows").alias("total")).first()
     return int(row["largest"] or 0), int(row["total"] or 0)
 
 
@@ -24,12 +31,16 @@ def row_bytes(schema: T.StructType) -> int:
     return 16 + sum(1024 if isinstance(f.dataType, wide) else 16 for f in schema.fields)
 
 
-def sized_broadcast(df: DataFrame, max_bytes: int = S.BROADCAST_BYTES) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_bytes: int = S.BROADCAST_BYTES,
+                    computed: bool = False) -> DataFrame:
     """Mark the side for broadcast only when its counted rows fit ``max_bytes``.
 
     Beyond that the frame is returned as it is: the join then shuffles both sides, and
-    adaptive execution splits the partitions of a hot key.
+    adaptive execution splits the partitions of a hot key. A ``computed`` side, such as an
+    aggregate, is settled first, so that the count and the join do not both compute it.
     """
+    if computed:
+        df = settled(df)
     bound = max(1, max_bytes // row_bytes(df.schema))
     if df.limit(bound + 1).count() <= bound:
         return F.broadcast(df)

@@ -12,6 +12,7 @@ from tidalfed.functions.scoring import cross_entropy, predicted_class, probabili
 from tidalfed.functions.vectors import zeros
 from tidalfed.operators.fedavg import fedavg_vector
 from tidalfed.operators.sizing import sized_broadcast
+from tidalfed.session import settled
 
 
 def initial_models(nodes: DataFrame, key: str, features: int,
@@ -121,8 +122,8 @@ def train_and_evaluate(readings: DataFrame, models: DataFrame, *, key: str,
                        on: str | Sequence[str] | None = None, label: str = "label",
                        rate: float = S.LEARNING_RATE) -> DataFrame:
     """One step, then accuracy and loss of the new model on the same rows."""
-    stepped = sgd_step(readings, models, key=key, features=features, on=on, label=label,
-                       rate=rate)
+    stepped = settled(sgd_step(readings, models, key=key, features=features, on=on, label=label,
+                               rate=rate))
     keys = _names(on, key)
     scores = evaluate(readings, stepped, key=key, on=keys, features=features, label=label)
     return stepped.join(scores.select(*keys, "accuracy", "loss"), keys)
@@ -147,7 +148,7 @@ def federated_rounds(spark: SparkSession, readings: DataFrame, store: str, *, ro
         current = spark.read.schema(schema).parquet(f"{store}/round={number - 1}")
         stepped = sgd_step(readings, current, key=key, features=features, on="model_id",
                            label=label, rate=rate)
-        local = stepped.checkpoint()
+        local = settled(stepped)
         keys = _names("model_id", key)
         scores = evaluate(readings, local, key=key, on=keys, features=features, label=label)
         scored = local.join(scores.select(*keys, "loss"), keys)

@@ -14,6 +14,7 @@ from tidalfed.plans.projections import MACHINE_P, machine_probability
 from tidalfed.functions import scoring as P
 from tidalfed.functions.features import iso_text
 from tidalfed.plans.registry import long_model, plain_time, query, r6, sql6, views
+from tidalfed.session import settled
 from tidalfed.sources import tables
 
 
@@ -198,7 +199,7 @@ FROM members JOIN rounds USING (round) GROUP BY region""")
 def node_stats(spark: SparkSession, folder: str) -> DataFrame:
     """What a monitor shows per participant, in its order."""
     updates = tables.updates(spark, folder)
-    totals = A.fedavg_vector(updates, ["round"])
+    totals = settled(A.fedavg_vector(updates, ["round"]))
     members = updates.select("round", "region").distinct()
     stats = monitor.node_stats(totals, members, node="region")
     return stats.withColumn("last_loss", r6("last_loss")).orderBy("region")

@@ -73,7 +73,7 @@ def score_linear(spark: SparkSession, folder: str) -> DataFrame:
     updates = tables.updates(spark, folder)
     model = fedavg_vector(updates, ["model_id"]).select(
         "model_id", F.col("weights").alias("_w"), F.col("bias").alias("_b"))
-    joined = updates.join(sized_broadcast(model), "model_id")
+    joined = updates.join(sized_broadcast(model, computed=True), "model_id")
     score = V.dot_arrays(F.col("weights"), F.col("_w")) + F.col("_b")
     return joined.select("node_id", r6(score).alias("score"))
 

@@ -11,7 +11,7 @@ from tidalfed.operators.batches import count_batches
 from tidalfed.operators.fedavg import fedavg_vector
 from tidalfed.operators.sequential import last_models, train_sequential
 from tidalfed.plans.registry import long_model, query, r6, sql6, views
-from tidalfed.session import run_folder
+from tidalfed.session import run_folder, settled
 from tidalfed.sources import tables
 
 RATE = 0.01
@@ -61,7 +61,7 @@ step2 AS ({_sql_step("slope2")})
 
 def _machine(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     machine = tables.machine(spark, folder)
-    return machine, T.initial_models(machine, "node_id", 5)
+    return machine, settled(T.initial_models(machine, "node_id", 5))
 
 
 def _long(models: DataFrame, *keys: str) -> DataFrame:
@@ -81,7 +81,7 @@ def sgd_two_steps(spark: SparkSession, folder: str) -> DataFrame:
     """Two steps, the second from where the first one ended."""
     machine, start = _machine(spark, folder)
     options = {"key": "node_id", "features": X.shift_scale(), "rate": RATE}
-    first = T.sgd_step(machine, start, **options).checkpoint()
+    first = settled(T.sgd_step(machine, start, **options))
     return _long(T.sgd_step(machine, first, **options), "node_id", "n_samples")
 
 
@@ -93,7 +93,7 @@ def sgd_gradient(spark: SparkSession, folder: str) -> DataFrame:
     """Gradient of each node after one step."""
     machine, start = _machine(spark, folder)
     options = {"key": "node_id", "features": X.shift_scale()}
-    first = T.sgd_step(machine, start, rate=RATE, **options).checkpoint()
+    first = settled(T.sgd_step(machine, start, rate=RATE, **options))
     slope = T.gradients(machine, first, **options)
     vector = F.concat("grad_weights", F.array("grad_bias"))
     return slope.select("node_id", "n_samples", F.posexplode(vector).alias("pos", "value")

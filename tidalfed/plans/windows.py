@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidalfed.operators import batches, monitor, rollup, rounds
 from tidalfed.operators.fedavg import fedavg_vector
 from tidalfed.plans.registry import plain_time, query, r6, sql6, views
+from tidalfed.session import settled
 from tidalfed.sources import tables
 
 
@@ -109,7 +110,7 @@ SELECT model_id, round, {sql6("loss")} AS weighted_loss,
 FROM rounds WINDOW m AS (PARTITION BY model_id)""")
 def loss_minmax(spark: SparkSession, folder: str) -> DataFrame:
     """Losses scaled over all rounds of a model."""
-    scaled = monitor.loss_minmax(short_rounds(tables.updates(spark, folder)))
+    scaled = monitor.loss_minmax(settled(short_rounds(tables.updates(spark, folder))))
     return scaled.select("model_id", "round", r6("weighted_loss").alias("weighted_loss"),
                          r6("scaled_loss").alias("scaled_loss"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -51,6 +51,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """Compute a small result once: its lineage ends in files of the shared folder."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Compute a large result once, as a table of the shared folder.
+
+    Unlike a checkpoint it is computed in one pass, and later reads prune its columns.
+    """
+    path = run_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def run_folder(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder, used by one run only."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -17,6 +17,7 @@ from tidalfed.operators.fedavg import fedavg_vector
 from tidalfed.operators.joins import latest
 from tidalfed.operators.rollup import windowed
 from tidalfed.operators.rounds import participants, round_log
+from tidalfed.session import settled
 from tidalfed.sources.roundlog import append_rounds
 from tidalfed.streaming.run import BatchTable
 
@@ -67,7 +68,7 @@ class TriggerRounds:
             self.models.write(spark.createDataFrame([], MODEL), batch_id)
             return
         arrived = batch.select(*waiting.columns).unionByName(waiting)
-        seen = latest(arrived, ["model_id", "node_id"], ["event_time"]).checkpoint()
+        seen = settled(latest(arrived, ["model_id", "node_id"], ["event_time"]))
         ready = seen.groupBy("model_id").agg(F.count(F.lit(1)).alias("_nodes")).filter(
             F.col("_nodes") >= self.min_nodes)
         averaged = fedavg_vector(seen.join(ready, "model_id", "left_semi"), ["model_id"])

@@ -14,6 +14,7 @@ from tidalfed import settings as S
 from tidalfed.operators.fedavg import fedavg_vector
 from tidalfed.operators.sequential import REPORT, Learner
 from tidalfed.operators.training import evaluate, sgd_step
+from tidalfed.session import settled
 from tidalfed.streaming.rounds import MODEL
 from tidalfed.streaming.run import BatchTable
 
@@ -48,20 +49,20 @@ class BatchTraining:
             return
         keys = ["model_id", "node_id"]
         step = {"key": "node_id", "on": keys, "features": self.features}
-        start = self._start(batch, known, newest).checkpoint()
-        stepped = sgd_step(batch, start, rate=self.rate, **step).checkpoint()
+        start = settled(self._start(batch, known, newest))
+        stepped = settled(sgd_step(batch, start, rate=self.rate, **step))
         scores = evaluate(batch, stepped, **step).select(*keys, "loss", "accuracy")
-        trained = (stepped.join(scores, keys).join(start.select(*keys, "_before"), keys)
-                   .withColumn("n_samples", F.col("n_samples") + F.col("_before"))
-                   .withColumn("batch", F.lit(batch_id)).drop("_before").checkpoint())
+        trained = settled(stepped.join(scores, keys).join(start.select(*keys, "_before"), keys)
+                          .withColumn("n_samples", F.col("n_samples") + F.col("_before"))
+                          .withColumn("batch", F.lit(batch_id)).drop("_before"))
         idle = known.join(trained.select(*keys), keys, "left_anti")
         self.nodes.write(trained.unionByName(idle), batch_id)
 
         done = newest.select("model_id", "round")
-        models = (fedavg_vector(trained, ["model_id"])
-                  .filter(F.col("updates") >= self.min_nodes)
-                  .join(done, "model_id", "left")
-                  .withColumn("round", F.coalesce("round", F.lit(0)) + 1)).checkpoint()
+        models = settled(fedavg_vector(trained, ["model_id"])
+                         .filter(F.col("updates") >= self.min_nodes)
+                         .join(done, "model_id", "left")
+                         .withColumn("round", F.coalesce("round", F.lit(0)) + 1))
         kept = newest.join(models.select("model_id"), "model_id", "left_anti")
         self.models.write(models.unionByName(kept), batch_id)
 
