@@ -14,7 +14,7 @@ from tidalfed.plans.joins import (
 from tidalfed.plans.aggregates import ALERTS
 from tidalfed.operators.monitor import anomaly_alerts
 from tidalfed.plans.registry import long_model, plain_time, query, r6, sql6, views
-from tidalfed.plans.training import BY_PLANT, _sql_long
+from tidalfed.plans.training import ALL_UPDATES, BY_PLANT, _sql_long
 from tidalfed.session import run_folder
 from tidalfed.sources import tables
 from tidalfed.sources.topics import table_stream
@@ -33,6 +33,11 @@ def _updates(spark: SparkSession, folder: str) -> DataFrame:
     return tables.as_updates(table_stream(spark, folder, "embeddings"))
 
 
+def _long_updates(updates: DataFrame) -> DataFrame:
+    return long_model(updates, "edge_id", "lane", "round", parts=("bias",),
+                      extra=("n_samples", "total_samples", "anomalies_detected"))
+
+
 def _plain(windows: DataFrame) -> DataFrame:
     return windows.withColumns({c: plain_time(c) for c in ("window_start", "window_end")})
 
@@ -133,9 +138,16 @@ def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(raised).withColumn("anomaly_rate", r6("anomaly_rate"))
 
 
-@query()
+@query(f"""{views("cells")}
+SELECT model_id, 1 AS round, CAST(sum(n_samples) AS BIGINT) AS total_samples,
+       count(*) AS updates, CAST(pos AS INTEGER) AS pos,
+       {sql6("sum(n_samples * w) / sum(n_samples)")} AS value
+FROM cells GROUP BY model_id, pos""")
 def stream_rounds(spark: SparkSession, folder: str) -> DataFrame:
-    """A round for each non-empty trigger, from the newest update of each node."""
+    """A round for each non-empty trigger, from the newest update of each node.
+
+    The table is there at the start, so it comes in one trigger and makes one round.
+    """
     models = rounds_by_trigger(_updates(spark, folder), run_folder(spark, "rounds"))
     return long_model(models, "model_id", "round")
 
@@ -157,11 +169,11 @@ def stream_round_timeout(spark: SparkSession, folder: str) -> DataFrame:
                       extra=("total_samples", "updates", "participants", "anomalies"))
 
 
-@query()
+@query(ALL_UPDATES)
 def stream_edge_training(spark: SparkSession, folder: str) -> DataFrame:
     """An update for every fifty readings of each entity, from keyed state."""
     rows = train_by_entity(_readings(spark, folder), X.zscore("voltage", "current"))
-    return run_to_table(rows, run_folder(spark, "edges"))
+    return _long_updates(run_to_table(rows, run_folder(spark, "edges")))
 
 
 @query()
@@ -173,7 +185,7 @@ def stream_feedback(spark: SparkSession, folder: str) -> DataFrame:
         F.slice("weights", 1, 3).alias("weights"), "bias")
     rows = train_by_entity(_readings(spark, folder), X.zscore("voltage", "current"),
                            models=models, entities=known)
-    return run_to_table(rows, run_folder(spark, "feedback"))
+    return _long_updates(run_to_table(rows, run_folder(spark, "feedback")))
 
 
 @query(BY_PLANT + _sql_long("step", "model_id, node_id, n_samples"))

@@ -178,21 +178,75 @@ def init_weights_seeded(spark: SparkSession, folder: str) -> DataFrame:
     return _long(T.initial_models(machine, "node_id", 5, seed=42), "node_id")
 
 
-@query()
+# Row-by-row training folded over each entity's rows: r is (features, label), acc the model.
+ROW_Z = "(acc[1] * r[1] + acc[2] * r[2] + acc[3] * r[3] + acc[4])"
+ROW_E = f"(1e0 / (1e0 + exp(-greatest(-500e0, least(500e0, {ROW_Z})))) - r[4])"
+DECAY = "(1e0 - 0.01e0 * 0.0001e0)"
+ROW_STEP = (f"[acc[1] * {DECAY} - 0.01e0 * {ROW_E} * r[1], "
+            f"acc[2] * {DECAY} - 0.01e0 * {ROW_E} * r[2], "
+            f"acc[3] * {DECAY} - 0.01e0 * {ROW_E} * r[3], acc[4] - 0.01e0 * {ROW_E}]")
+FOLD = f"list_reduce(rows, lambda acc, r: {ROW_STEP}, [0e0, 0e0, 0e0, 0e0])"
+
+SEQUENCE = f"""{views("readings")},
+numbered AS (
+    SELECT *, (voltage - 230e0) / 5e0 AS x0, (current - 10e0) / 2e0 AS x1,
+           (voltage * current - 2300e0) / 10e0 AS x2,
+           row_number() OVER (PARTITION BY edge_id ORDER BY event_time, event_id) AS position,
+           count(*) OVER (PARTITION BY edge_id) // 50 * 50 AS trained
+    FROM readings),
+folded AS (
+    SELECT model_id, edge_id, count(*) AS n, CAST(sum(label) AS BIGINT) AS anomalies,
+           list([x0, x1, x2, label::DOUBLE] ORDER BY position) AS rows
+    FROM numbered WHERE position <= trained GROUP BY model_id, edge_id),
+models AS (SELECT model_id, edge_id, n, anomalies, {FOLD} AS m FROM folded)
+"""
+
+
+@query(SEQUENCE + f"""
+, scored AS (
+    SELECT edge_id, avg(CASE WHEN (m[1] * x0 + m[2] * x1 + m[3] * x2 + m[4] > 0) = (label = 1)
+                             THEN 1e0 ELSE 0e0 END) AS accuracy
+    FROM numbered JOIN models USING (edge_id)
+    WHERE position > trained - 50 AND position <= trained GROUP BY edge_id)
+SELECT edge_id, CAST(0 AS BIGINT) AS shard, n AS n_samples, n AS total_samples,
+       anomalies AS anomalies_detected, CAST(n // 50 AS INTEGER) AS rounds,
+       {sql6("accuracy")} AS accuracy, CAST(pos - 1 AS INTEGER) AS pos, {sql6("m[pos]")} AS value
+FROM models JOIN scored USING (edge_id), range(1, 5) AS r(pos)""")
 def sgd_sequential(spark: SparkSession, folder: str) -> DataFrame:
     """Row-by-row training in batches of fifty; the model each entity ends with."""
     updates = train_sequential(tables.readings(spark, folder),
                                features=X.zscore("voltage", "current"))
-    return last_models(updates)
+    models = last_models(updates).withColumn("accuracy", r6("accuracy"))
+    return long_model(models, "edge_id", "shard", parts=("bias",), extra=(
+        "n_samples", "total_samples", "anomalies_detected", "rounds", "accuracy"))
 
 
-@query()
+@query(SEQUENCE + f"""
+SELECT model_id, CAST(sum(n) AS BIGINT) AS total_samples, count(*) AS updates,
+       CAST(pos - 1 AS INTEGER) AS pos, {sql6("sum(n * m[pos]) / sum(n)")} AS value
+FROM models, range(1, 5) AS r(pos) GROUP BY model_id, pos""")
 def sgd_sequential_global(spark: SparkSession, folder: str) -> DataFrame:
     """The entities' sequential models averaged by the samples they trained on."""
     keys = ["model_id", "edge_id"]
     updates = train_sequential(tables.readings(spark, folder), keys=keys,
                                features=X.zscore("voltage", "current"))
-    return fedavg_vector(last_models(updates, keys), ["model_id"], loss=None)
+    models = fedavg_vector(last_models(updates, keys), ["model_id"], loss=None)
+    return long_model(models, "model_id", parts=("bias",))
+
+
+# Every update of every entity: the fold over all rows up to the end of its batch.
+ALL_UPDATES = SEQUENCE + f"""
+, batches AS (SELECT edge_id, n, unnest(range(0, n // 50)) AS batch FROM models),
+prefixes AS (
+    SELECT b.edge_id, b.batch, CAST(sum(label) AS BIGINT) AS anomalies,
+           list([x0, x1, x2, label::DOUBLE] ORDER BY position) AS rows
+    FROM batches b JOIN numbered r ON r.edge_id = b.edge_id AND position <= (batch + 1) * 50
+    GROUP BY ALL),
+updates AS (SELECT edge_id, batch, anomalies, {FOLD} AS m FROM prefixes)
+SELECT edge_id, 0 AS lane, CAST(batch AS INTEGER) AS round, CAST(50 AS BIGINT) AS n_samples,
+       (batch + 1) * 50 AS total_samples, anomalies AS anomalies_detected,
+       CAST(pos - 1 AS INTEGER) AS pos, {sql6("m[pos]")} AS value
+FROM updates, range(1, 5) AS r(pos)"""
 
 
 @query(f"""{views("readings")},
