@@ -60,6 +60,19 @@ def test_sequential_training(readings, every):
         assert_updates([r for r in rows if r.edge_id == edge], expected)
 
 
+def test_unbroken_chains_over_small_arrow_batches(spark, readings):
+    key, old = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+    spark.conf.set(key, "37")
+    try:
+        rows = train_sequential(readings, features=X.zscore("voltage", "current"),
+                                shard_rows=None).collect()
+    finally:
+        spark.conf.set(key, old)
+    for edge in ("village_1", "village_2", "village_3", "village_4"):
+        assert_updates([r for r in rows if r.edge_id == edge],
+                       brute_force(*matrix(readings, edge)))
+
+
 def test_first_training_waits_for_both_classes(spark):
     rows = spark.range(200).select(
         F.lit("a").alias("edge_id"), F.col("id").alias("event_id"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidalfed import settings as S
@@ -78,6 +78,11 @@ def iso_time(text: str | Column) -> Column:
     return F.try_to_timestamp(_col(text))
 
 
+def stamped(rows: DataFrame, name: str = "fog_timestamp") -> DataFrame:
+    """Add the time of processing, the same for all rows of a batch."""
+    return rows.withColumn(name, F.current_timestamp())
+
+
 def prefixed_key(prefix: str, value: str | Column) -> Column:
     """Message key such as ``round_7``, ``node_2``, ``fog_node_1``."""
     return F.concat(F.lit(f"{prefix}_"), _col(value).cast("string"))

@@ -90,11 +90,11 @@ def position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], limit: int,
-                spread: int = 64, rank: str | None = None) -> DataFrame:
+                spread: int = 1024, rank: str | None = None) -> DataFrame:
     """The first ``limit`` rows of each key.
 
-    Two levels: every input task keeps at most ``limit`` rows of a key, ``spread`` tasks
-    per key thin those out, and one task ranks what is left (at most spread * limit).
+    Two levels: every input task keeps at most ``limit`` rows of a key, up to ``spread``
+    groups per key thin those out, and one task ranks what is left (at most spread * limit).
     """
     name, lane = rank or "_rank", "_lane"
     first = W.partitionBy(*keys, lane).orderBy(*order)

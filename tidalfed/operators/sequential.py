@@ -4,12 +4,14 @@ Each entity trains on its rows in order, ``every`` rows at a time, and reports i
 after each batch. A chain of updates cannot be split, so an entity beyond ``shard_rows``
 rows is cut into consecutive shards that train side by side, as further nodes of the same
 entity would; their models are then averaged by samples like any other nodes'. Groups stay
-bounded however large an entity is, and every row is trained on.
+bounded however large an entity is, and every row is trained on. Where one unbroken chain
+is wanted whatever it takes, ``shard_rows=None`` runs through each entity's sorted rows one
+Arrow batch at a time: memory stays bounded, but a large entity is one long task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -85,45 +87,65 @@ def train_sequential(readings: DataFrame, *, features: Sequence[Column],
                      keys: Sequence[str] = ("edge_id",), order: Sequence[str] = ORDER,
                      label: str = "label", every: int = S.TRAIN_EVERY,
                      buffer_rows: int = S.BUFFER_ROWS, rate: float = S.LEARNING_RATE,
-                     alpha: float = S.L2_ALPHA, shard_rows: int = S.SHARD_ROWS,
+                     alpha: float = S.L2_ALPHA, shard_rows: int | None = S.SHARD_ROWS,
                      group_rows: int = S.GROUP_ROWS) -> DataFrame:
     """One update per trained batch: ``keys, shard`` and the report of the batch."""
-    keys = list(keys)
-    dim = len(features)
-    cut = shards(readings, keys, order, shard_rows, group_rows).select(
+    keys, dim = list(keys), len(features)
+    if shard_rows is None:
+        cut = readings.withColumn("shard", F.lit(0).cast("bigint"))
+    else:
+        cut = shards(readings, keys, order, shard_rows, group_rows)
+    rows = cut.select(
         *dict.fromkeys([*keys, "shard", *order]),
         *[x.alias(f"_x{j}") for j, x in enumerate(features)],
         F.coalesce(label, F.lit(0)).alias("_y"),
     ).dropna(subset=[f"_x{j}" for j in range(dim)])
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                      for f in cut.select(*keys, "shard").schema.fields)
-    train = _shard_function(keys, list(order), dim, every, buffer_rows, rate, alpha)
-    return cut.groupBy(*keys, "shard").applyInPandas(train, f"{types}, {REPORT}")
+                      for f in rows.select(*keys, "shard").schema.fields)
+    trainer = Trainer([*keys, "shard"], dim, {
+        "every": every, "buffer_rows": buffer_rows, "rate": rate, "alpha": alpha})
+    schema = f"{types}, {REPORT}"
+    if shard_rows is None:
+        ordered = rows.repartition(*keys).sortWithinPartitions(*keys, *order)
+        return ordered.mapInPandas(trainer.train_sorted, schema)
+    return rows.groupBy(*keys, "shard").applyInPandas(trainer.grouped(list(order)), schema)
 
 
-def _shard_function(keys: list[str], order: list[str], dim: int, every: int,
-                    buffer_rows: int, rate: float,
-                    alpha: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    columns = [part.split()[0] for part in REPORT.split(", ")]
+@dataclass
+class Trainer:
+    """Runs learners over frames of rows and collects their reports."""
+
+    keys: list[str]
+    dim: int
+    options: dict
+
+    def grouped(self, order: list[str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        """For one group at a time."""
+
+        def train(rows: pd.DataFrame) -> pd.DataFrame:
+            return self._learn(Learner(np.zeros(self.dim)), rows.sort_values(order))
 
-    def train(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable")
-        learner = Learner(np.zeros(dim))
-        x = rows[[f"_x{j}" for j in range(dim)]].to_numpy(dtype=float)
+        return train
+
+    def train_sorted(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """For rows sorted by key and order; a key may go on from one frame to the next."""
+        current, learner = None, Learner(np.zeros(self.dim))
+        for frame in frames:
+            for key, rows in frame.groupby(self.keys, sort=False, dropna=False):
+                name = tuple(None if pd.isna(part) else part for part in key)
+                if name != current:
+                    current, learner = name, Learner(np.zeros(self.dim))
+                yield self._learn(learner, rows)
+
+    def _learn(self, learner: Learner, rows: pd.DataFrame) -> pd.DataFrame:
+        x = rows[[f"_x{j}" for j in range(self.dim)]].to_numpy(dtype=float)
         y = rows["_y"].to_numpy(dtype=int)
-        reports = []
-        for features, label in zip(x, y):
-            report = learner.see(features, label, every=every, buffer_rows=buffer_rows,
-                                 rate=rate, alpha=alpha)
-            if report:
-                reports.append(report)
-        result = pd.DataFrame(reports, columns=columns)
-        for at, name in enumerate([*keys, "shard"]):
+        reports = [r for r in (learner.see(a, b, **self.options) for a, b in zip(x, y)) if r]
+        result = pd.DataFrame(reports, columns=[part.split()[0] for part in REPORT.split(", ")])
+        for at, name in enumerate(self.keys):
             result.insert(at, name, rows[name].iloc[0])
         return result
 
-    return train
-
 
 def last_models(updates: DataFrame, keys: Sequence[str] = ("edge_id",)) -> DataFrame:
     """The model each shard ended with and the samples it trained on, per entity."""

@@ -37,7 +37,8 @@ REGIONS_PER_ROUND = 2
 ROUND_TIMEOUT_SECONDS = 60
 NODES_PER_ROUND = 1
 ROUND_INTERVAL = "30 seconds"
-PUBLISH_INTERVAL = "10 seconds"
+PUBLISH_INTERVAL_MS = 10_000
+TRAIN_INTERVAL = "5 seconds"
 
 # Training.
 TRAIN_EVERY = 50

@@ -9,7 +9,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import (
+    StatefulProcessor, StatefulProcessorHandle, StreamingQuery)
 
 from tidalfed import settings as S
 from tidalfed.functions.features import iso_text
@@ -87,15 +88,19 @@ class TriggerRounds:
         append_rounds(round_log(entries), self.log, batch_id)
 
 
+def start_rounds(updates: DataFrame, folder: str, min_nodes: int = S.NODES_PER_ROUND,
+                 trigger: dict | None = None) -> StreamingQuery:
+    """Start publishing rounds, by default one every round interval."""
+    return (updates.writeStream.foreachBatch(TriggerRounds(folder, min_nodes))
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(**(trigger or {"processingTime": S.ROUND_INTERVAL})).start())
+
+
 def rounds_by_trigger(updates: DataFrame, folder: str,
                       min_nodes: int = S.NODES_PER_ROUND) -> DataFrame:
     """Work through the available updates and return the table of published models."""
-    rounds = TriggerRounds(folder, min_nodes)
-    query = (updates.writeStream.foreachBatch(rounds)
-             .option("checkpointLocation", f"{folder}/checkpoint")
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
-    return rounds.models.read(updates.sparkSession)
+    start_rounds(updates, folder, min_nodes, {"availableNow": True}).awaitTermination()
+    return TriggerRounds(folder, min_nodes).models.read(updates.sparkSession)
 
 
 ROUND = ("model_id string, round int, reason string, weights array<double>, bias double, "

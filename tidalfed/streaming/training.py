@@ -8,7 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import (
+    StatefulProcessor, StatefulProcessorHandle, StreamingQuery)
 
 from tidalfed import settings as S
 from tidalfed.operators.fedavg import fedavg_vector
@@ -47,6 +48,14 @@ class BatchTraining:
             self.nodes.write(known, batch_id)
             self.models.write(newest, batch_id)
             return
+        batch.persist()  # read by the start models, the step and the evaluation
+        try:
+            self._train(batch, batch_id, known, newest)
+        finally:
+            batch.unpersist()
+
+    def _train(self, batch: DataFrame, batch_id: int, known: DataFrame,
+               newest: DataFrame) -> None:
         keys = ["model_id", "node_id"]
         step = {"key": "node_id", "on": keys, "features": self.features}
         start = settled(self._start(batch, known, newest))
@@ -79,15 +88,20 @@ class BatchTraining:
                         F.coalesce("n_samples", F.lit(0)).alias("_before")))
 
 
+def start_training(readings: DataFrame, job: BatchTraining, folder: str,
+                   trigger: dict | None = None) -> StreamingQuery:
+    """Start training on a stream, by default every five seconds."""
+    return (readings.writeStream.foreachBatch(job)
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(**(trigger or {"processingTime": S.TRAIN_INTERVAL})).start())
+
+
 def train_by_batch(readings: DataFrame, folder: str, features: Sequence[Column],
                    rate: float = S.LEARNING_RATE,
                    min_nodes: int = S.NODES_PER_ROUND) -> tuple[DataFrame, DataFrame]:
     """Work through the available readings; gives the models and the nodes at each batch."""
     job = BatchTraining(folder, features, rate, min_nodes)
-    query = (readings.writeStream.foreachBatch(job)
-             .option("checkpointLocation", f"{folder}/checkpoint")
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
+    start_training(readings, job, folder, {"availableNow": True}).awaitTermination()
     spark = readings.sparkSession
     return job.models.read(spark), job.nodes.read(spark)
 
