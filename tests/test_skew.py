@@ -106,6 +106,31 @@ def test_rollup_lists_are_paged_and_whole(rows, list_rows):
         assert {r.page for r in rolled.collect()} == {0}
 
 
+def copies(spark):
+    """One reading two thousand times over, and a hundred others of its entity."""
+    return spark.range(2100).select(
+        F.lit("hot").alias("edge_id"), F.greatest(F.lit(0), F.col("id") - 2000).alias("event_id"),
+        F.timestamp_seconds(F.lit(9)).alias("event_time"), F.lit(1).alias("x"),
+        F.lit("r").alias("region"), F.array(F.lit(1.0)).alias("weights"),
+        F.lit(1).alias("n_samples"), F.lit(0.5).alias("accuracy"), F.lit(0).alias("anomalies"))
+
+
+def test_copies_of_one_row_are_spread_over_segments(spark):
+    order = ["event_time", "event_id"]
+    cut, flag = ordered.segmented(copies(spark), ["edge_id"], order, 200)
+    sizes = [r["count"] for r in cut.groupBy(ordered.SEGMENT).count().collect()]
+    assert flag and max(sizes) < 3 * 200 and sum(sizes) == 2100
+    numbered = ordered.position(copies(spark), ["edge_id"], order, "n", group_rows=200)
+    assert sorted(r.n for r in numbered.collect()) == list(range(1, 2101))
+
+
+def test_copies_of_one_update_are_spread_over_pages(spark):
+    rolled = rollup.regional_rollup(copies(spark), list_rows=50).cache()
+    sizes = [len(r.contributing_edges) for r in rolled.collect()]
+    assert sum(sizes) == 2100 and max(sizes) <= 8 * 50
+    assert {r.num_updates for r in rolled.collect()} == {2100}
+
+
 def test_history_pages_join_up(spark):
     log = spark.range(1, 96).select(
         F.lit("m").alias("model_id"), F.col("id").alias("round"),

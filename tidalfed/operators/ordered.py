@@ -35,7 +35,12 @@ def segmented(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if largest <= group_rows:
         return df.withColumn(SEGMENT, F.lit(0)), False
     parts = -(-total // group_rows) + 1
-    ranged = df.repartitionByRange(parts, *keys, *order)
+    # Rows that agree in keys and order are told apart by all their columns, and copies of one
+    # row by a number, so that no tie is too large for a segment.
+    tied = df.withColumns({"_hash": F.xxhash64(*df.columns),
+                           "_copy": F.monotonically_increasing_id()})
+    ranged = tied.repartitionByRange(parts, *keys, *order, "_hash", "_copy").drop(
+        "_hash", "_copy")
     return written(ranged.withColumn(SEGMENT, F.spark_partition_id()), "segments"), True
 
 

@@ -54,14 +54,11 @@ def regional_rollup(updates: DataFrame, duration: str = S.WINDOW,
     if watermark:
         updates = updates.withWatermark("event_time", watermark)
     rows = windowed(updates, duration)
-    members = F.array_sort(F.collect_list(F.struct("edge_id", "event_time", "weights")))
-    lists = [
-        F.transform(members, lambda m: m["edge_id"]).alias("contributing_edges"),
-        F.transform(members, lambda m: m["weights"]).alias("all_weights"),
-    ]
+    member = F.struct("edge_id", "event_time", "weights")
+    lists = _lists(F.collect_list(member))
     measures = _measures(F.col("accuracy"), F.col("anomalies"))
-    salt = F.xxhash64("edge_id", "event_time", "weights")
     if updates.isStreaming and stream_pages > 1:
+        salt = F.xxhash64(*updates.columns)
         paged = rows.withColumn("page", F.pmod(salt, F.lit(stream_pages)).cast("int"))
         return _flatten(paged.groupBy(*KEYS, "page").agg(*lists, *measures))
     if updates.isStreaming or group_sizes(rows, KEYS)[0] <= list_rows:
@@ -69,10 +66,28 @@ def regional_rollup(updates: DataFrame, duration: str = S.WINDOW,
         return _flatten(paged)
 
     totals = settled(rows.groupBy(*KEYS).agg(*measures))
+    # Copies of one update are counted first and laid out in blocks, each on its own page.
+    counted = rows.groupBy(*KEYS, "edge_id", "event_time", "weights").agg(
+        F.count(F.lit(1)).alias("_copies"))
+    blocks = counted.withColumn("_block", F.explode(
+        F.sequence(F.lit(0), F.expr(f"cast((_copies - 1) div {list_rows} AS int)"))))
+    inside = F.least(F.lit(list_rows), F.col("_copies") - F.col("_block") * list_rows)
     pages = F.ceil(F.col("num_updates") / F.lit(list_rows))
-    salted = lookup(rows, sized_broadcast(totals), KEYS).withColumn("page", F.pmod(salt, pages).cast("int"))
+    salt = F.xxhash64("edge_id", "event_time", "weights", "_block")
+    salted = lookup(blocks, sized_broadcast(totals), KEYS).withColumn(
+        "page", F.pmod(salt, pages).cast("int"))
+    members = F.flatten(F.collect_list(F.array_repeat(member, inside.cast("int"))))
     measured = [F.first(c).alias(c) for c in totals.columns if c not in KEYS]
-    return _flatten(salted.groupBy(*KEYS, "page").agg(*lists, *measured))
+    return _flatten(salted.groupBy(*KEYS, "page").agg(*_lists(members), *measured))
+
+
+def _lists(members: Column) -> list[Column]:
+    """Edges and models of the members, in one order."""
+    ordered = F.array_sort(members)
+    return [
+        F.transform(ordered, lambda m: m["edge_id"]).alias("contributing_edges"),
+        F.transform(ordered, lambda m: m["weights"]).alias("all_weights"),
+    ]
 
 
 def corrected_anomalies(updates: DataFrame, duration: str = S.WINDOW) -> DataFrame:

@@ -41,6 +41,26 @@ def regional_rollup(spark: SparkSession, folder: str) -> DataFrame:
         "num_updates")
 
 
+@query(f"""{views("updates")},
+grouped AS (
+    SELECT region, time_bucket(INTERVAL 30 SECOND, event_time) AS window_start,
+           CAST(sum(n_samples) AS BIGINT) AS total_n_samples, count(*) AS num_updates
+    FROM updates GROUP BY ALL)
+SELECT u.region, window_start, edge_id, {sql6("weights[1]")} AS first_weight, total_n_samples,
+       num_updates
+FROM updates u JOIN grouped g
+    ON u.region = g.region AND time_bucket(INTERVAL 30 SECOND, event_time) = window_start""")
+def regional_rollup_paged(spark: SparkSession, folder: str) -> DataFrame:
+    """Members of the roll-up, with lists cut into pages as those of large groups are."""
+    rows = rollup.regional_rollup(tables.updates(spark, folder), list_rows=2)
+    pairs = F.arrays_zip("contributing_edges", "all_weights")
+    members = rows.select("region", plain_time("window_start").alias("window_start"),
+                          F.explode(pairs).alias("m"), "total_n_samples", "num_updates")
+    return members.select(
+        "region", "window_start", F.col("m.contributing_edges").alias("edge_id"),
+        r6(F.col("m.all_weights")[0]).alias("first_weight"), "total_n_samples", "num_updates")
+
+
 @query(f"""{views("updates")},
 latest_counts AS (
     SELECT region, edge_id, time_bucket(INTERVAL 30 SECOND, event_time) AS window_start,

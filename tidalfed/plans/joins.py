@@ -12,6 +12,7 @@ from tidalfed.operators import joins as J
 from tidalfed.operators import monitor
 from tidalfed.operators.fedavg import fedavg_vector
 from tidalfed.plans.registry import query, r6, sql6, views
+from tidalfed.plans.windows import cutting_bound
 from tidalfed.sources import tables
 
 
@@ -109,12 +110,24 @@ FROM readings r ASOF LEFT JOIN models m
     ON r.edge_id = m.edge_id AND r.event_time >= m.published_at"""
 
 
-@query(ASOF)
-def asof_model(spark: SparkSession, folder: str) -> DataFrame:
-    """Each reading with the model in force at its event time."""
+def _asof(spark: SparkSession, folder: str, cut: bool) -> DataFrame:
     readings = tables.readings(spark, folder).drop("model_id")
+    group_rows = cutting_bound(readings) if cut else S.GROUP_ROWS
     joined = J.with_model_in_force(readings, published_models(tables.updates(spark, folder)),
-                                   model=("model_node", "weights", "bias"))
+                                   model=("model_node", "weights", "bias"),
+                                   group_rows=group_rows)
     v, i, _ = X.zscore("voltage", "current")
     score = v * F.col("weights")[0] + i * F.col("weights")[1] + F.col("bias")
     return joined.select("event_id", "edge_id", "model_node", r6(score).alias("score"))
+
+
+@query(ASOF)
+def asof_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Each reading with the model in force at its event time."""
+    return _asof(spark, folder, cut=False)
+
+
+@query(ASOF)
+def asof_model_segmented(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with every entity cut into segments, as large ones are."""
+    return _asof(spark, folder, cut=True)

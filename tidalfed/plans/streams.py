@@ -14,7 +14,7 @@ from tidalfed.plans.joins import (
 from tidalfed.plans.aggregates import ALERTS
 from tidalfed.operators.monitor import anomaly_alerts
 from tidalfed.plans.registry import long_model, plain_time, query, r6, sql6, views
-from tidalfed.plans.training import ALL_UPDATES, BY_PLANT, _sql_long
+from tidalfed.plans.training import ALL_UPDATES, BY_PLANT, sql_long
 from tidalfed.session import run_folder
 from tidalfed.sources import tables
 from tidalfed.sources.topics import table_stream
@@ -154,7 +154,7 @@ def stream_rounds(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def stream_round_timeout(spark: SparkSession, folder: str) -> DataFrame:
-    """Rounds closed by eight regions or after a minute, over regional models."""
+    """Rounds closed by four regions or after a minute, over regional models."""
     run = run_folder(spark, "regions")
     updates = rollup.windowed(tables.updates(spark, folder))
     keys = ["window", "model_id", "region"]
@@ -164,7 +164,7 @@ def stream_round_timeout(spark: SparkSession, folder: str) -> DataFrame:
         "event_time", F.col("window.end")).drop("window")
     regional.write.parquet(f"{run}/regional")
     stream = spark.readStream.schema(regional.schema).parquet(f"{run}/regional")
-    rounds = run_to_table(rounds_by_participants(stream, regions=8), f"{run}/rounds")
+    rounds = run_to_table(rounds_by_participants(stream, regions=4), f"{run}/rounds")
     return long_model(rounds, "model_id", "round", "reason", parts=("bias",),
                       extra=("total_samples", "updates", "participants", "anomalies"))
 
@@ -188,7 +188,7 @@ def stream_feedback(spark: SparkSession, folder: str) -> DataFrame:
     return _long_updates(run_to_table(rows, run_folder(spark, "feedback")))
 
 
-@query(BY_PLANT + _sql_long("step", "model_id, node_id, n_samples"))
+@query(BY_PLANT + sql_long("step", "model_id, node_id, n_samples"))
 def stream_batch_training(spark: SparkSession, folder: str) -> DataFrame:
     """A step of each machine node per micro-batch (the table comes as one batch)."""
     stream = tables.as_machine(table_stream(spark, folder, "lineitem"))

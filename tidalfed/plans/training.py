@@ -18,7 +18,8 @@ RATE = 0.01
 
 # Machine features with the oracle's names.
 MACHINE_X = """
-    SELECT model_id, node_id, label::DOUBLE AS y, vibration_x - 0.5e0 AS x0, vibration_y - 0.5e0 AS x1,
+    SELECT model_id, node_id, label::DOUBLE AS y,
+           vibration_x - 0.5e0 AS x0, vibration_y - 0.5e0 AS x1,
            vibration_z - 0.5e0 AS x2, (temperature - 65e0) / 20e0 AS x3,
            (pressure - 100e0) / 30e0 AS x4
     FROM machine"""
@@ -40,7 +41,7 @@ def _sql_step(gradient: str, keys: str = "node_id") -> str:
     return f"SELECT {keys}, n_samples, {moved}, b - {RATE}e0 * gb AS b FROM {gradient}"
 
 
-def _sql_long(model: str, keys: str) -> str:
+def sql_long(model: str, keys: str) -> str:
     values = ", ".join(f"w{j}" for j in range(5))
     return (f"SELECT {keys}, CAST(pos AS INTEGER) AS pos, {sql6('value')} AS value FROM ("
             f"SELECT {keys}, unnest([{values}, b]) AS value, "
@@ -68,7 +69,7 @@ def _long(models: DataFrame, *keys: str) -> DataFrame:
     return long_model(models, *keys, parts=("bias",), extra=())
 
 
-@query(STEPS + _sql_long("step1", "node_id, n_samples"))
+@query(STEPS + sql_long("step1", "node_id, n_samples"))
 def sgd_step(spark: SparkSession, folder: str) -> DataFrame:
     """One step of each node from the zero model."""
     machine, start = _machine(spark, folder)
@@ -76,7 +77,7 @@ def sgd_step(spark: SparkSession, folder: str) -> DataFrame:
     return _long(stepped, "node_id", "n_samples")
 
 
-@query(STEPS + _sql_long("step2", "node_id, n_samples"))
+@query(STEPS + sql_long("step2", "node_id, n_samples"))
 def sgd_two_steps(spark: SparkSession, folder: str) -> DataFrame:
     """Two steps, the second from where the first one ended."""
     machine, start = _machine(spark, folder)
@@ -144,7 +145,7 @@ tagged AS (SELECT 0 AS round, * FROM global0 UNION ALL SELECT 1, * FROM global1
 """
 
 
-@query(FEDERATED + _sql_long("tagged", "model_id, round"))
+@query(FEDERATED + sql_long("tagged", "model_id, round"))
 def federated_rounds(spark: SparkSession, folder: str) -> DataFrame:
     """Two rounds of local steps and averaging."""
     machine = tables.machine(spark, folder)

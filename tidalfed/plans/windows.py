@@ -12,7 +12,15 @@ from tidalfed.session import settled
 from tidalfed.sources import tables
 
 
-@query(f"""{views("readings")},
+def cutting_bound(rows: DataFrame) -> int:
+    """A bound below the size of the given entities, so that they are cut like large ones.
+
+    About sixty-four segments in all, however many rows there are.
+    """
+    return max(100, rows.count() // 64)
+
+
+COUNT_BATCHES = f"""{views("readings")},
 numbered AS (
     SELECT event_id, edge_id, label,
            row_number() OVER (PARTITION BY edge_id ORDER BY event_time, event_id) AS position,
@@ -20,13 +28,24 @@ numbered AS (
     FROM readings)
 SELECT event_id, edge_id, position, (position - 1) // 50 AS batch,
        position <= (n // 50) * 50 AS complete
-FROM numbered""")
+FROM numbered"""
+
+
+@query(COUNT_BATCHES)
 def count_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Training batches of fifty readings."""
     numbered = batches.count_batches(tables.readings(spark, folder))
     return numbered.select("event_id", "edge_id", "position", "batch", "complete")
 
 
+@query(COUNT_BATCHES)
+def count_batches_segmented(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with every entity cut into segments, as large ones are."""
+    readings = tables.readings(spark, folder)
+    numbered = batches.count_batches(readings, group_rows=cutting_bound(readings))
+    return numbered.select("event_id", "edge_id", "position", "batch", "complete")
+
+
 @query(f"""{views("readings")}
 SELECT event_id, edge_id FROM readings
 QUALIFY row_number() OVER (PARTITION BY edge_id ORDER BY event_time DESC, event_id DESC) <= 1000""")
@@ -35,17 +54,28 @@ def recent_buffer(spark: SparkSession, folder: str) -> DataFrame:
     return batches.recent_buffer(tables.readings(spark, folder)).select("event_id", "edge_id")
 
 
-@query(f"""{views("readings")}
+RUNNING = f"""{views("readings")}
 SELECT event_id, edge_id, count(*) OVER w AS total_samples,
        CAST(sum(label) OVER w AS BIGINT) AS anomalies_detected
 FROM readings WINDOW w AS (PARTITION BY edge_id ORDER BY event_time, event_id
-                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+
+
+@query(RUNNING)
 def running_counters(spark: SparkSession, folder: str) -> DataFrame:
     """Readings and anomalies seen so far by each entity."""
     counted = batches.running_counters(tables.readings(spark, folder))
     return counted.select("event_id", "edge_id", "total_samples", "anomalies_detected")
 
 
+@query(RUNNING)
+def running_counters_segmented(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with every entity cut into segments, as large ones are."""
+    readings = tables.readings(spark, folder)
+    counted = batches.running_counters(readings, group_rows=cutting_bound(readings))
+    return counted.select("event_id", "edge_id", "total_samples", "anomalies_detected")
+
+
 @query(f"""{views("updates")}
 SELECT region, node_id, CAST(sum(n_samples) OVER (PARTITION BY region ORDER BY event_time
            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS num_samples_trained

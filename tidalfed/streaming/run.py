@@ -28,10 +28,12 @@ def run_upserts(stream: DataFrame, folder: str, keys: Sequence[str]) -> DataFram
     folder, and reading takes each key's row of the highest batch, so that nothing is
     counted twice and a repeated batch replaces itself.
     """
-    query = publish_to_all(stream, f"{folder}/checkpoint", [table_sink(f"{folder}/data")],
-                           mode="update")
-    query.awaitTermination()
-    return newest_rows(stream.sparkSession, f"{folder}/data", stream.schema, keys)
+    spark, data = stream.sparkSession, f"{folder}/data"
+    # So that there is a table to read even when no batch brings a row.
+    table_sink(data)(spark.createDataFrame([], stream.schema), -1)
+    publish_to_all(stream, f"{folder}/checkpoint", [table_sink(data)],
+                   mode="update").awaitTermination()
+    return newest_rows(spark, data, stream.schema, keys)
 
 
 def newest_rows(spark: SparkSession, path: str, schema: T.StructType,

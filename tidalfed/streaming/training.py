@@ -198,9 +198,10 @@ def train_by_entity(readings: DataFrame, features: Sequence[Column], *,
     """A stream of updates, one per trained batch of each entity.
 
     ``models`` is a stream of global models (``model_id, event_time, weights, bias``), sent
-    on to every lane of the ``entities`` (``model_id, edge_id``) that follow the model. With ``lanes`` above 1 each entity trains
-    that many models side by side, chosen by a hash of the reading, so that an entity with
-    a large part of the stream is not one task's work; average them like other nodes'.
+    on to every lane of the ``entities`` (``model_id, edge_id``) that follow the model.
+    With ``lanes`` above 1 each entity trains that many models side by side, chosen by a
+    hash of the reading, so that an entity with a large part of the stream is not one task's
+    work; average them like other nodes'.
     With ``publish_ms`` the timers start batches of their own: run the query on a
     ``processingTime`` trigger, as it never runs out of work.
     """
