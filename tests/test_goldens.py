@@ -98,6 +98,14 @@ def test_sigmoid_is_clipped(spark):
     assert low == pytest.approx(math.exp(-500)) and high == 1.0 and mid == 0.5
 
 
+def test_no_score_gives_no_probability_and_no_anomaly(spark):
+    none = F.lit(None).cast("double")
+    p = P.probability([F.lit(1.0)], F.lit(None).cast("array<double>"), none)
+    row = spark.range(1).select(P.sigmoid(none), p, P.is_anomaly(p), P.predicted_class(p),
+                                P.cross_entropy(p, F.lit(1))).first()
+    assert list(row) == [None, None, False, None, None]
+
+
 def test_loss_of_certain_predictions_is_finite(spark):
     wrong, right = spark.range(1).select(P.cross_entropy(F.lit(0.0), F.lit(1)),
                                          P.cross_entropy(F.lit(1.0), F.lit(1))).first()

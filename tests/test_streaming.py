@@ -20,6 +20,7 @@ from tidalfed.sources.roundlog import read_rounds
 from tidalfed.streaming.rounds import (
     rounds_by_participants, rounds_by_trigger, rounds_by_window)
 from tidalfed.streaming.run import run_to_table, run_upserts
+from tidalfed.streaming.scoring import start_scoring
 from tidalfed.streaming.training import train_by_batch, train_by_entity
 
 DAY = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -230,6 +231,35 @@ def test_keyed_training_over_batches_equals_the_table_form(spark, small, tmp_pat
             want[key].n_samples, want[key].total_samples, want[key].anomalies_detected)
 
 
+def test_scoring_follows_the_model_table(spark, tmp_path):
+    readings = spark.range(4).select(
+        F.when(F.col("id") == 3, "none").otherwise("m").alias("model_id"),
+        F.col("id").alias("event_id"), (F.col("id") + 1.0).alias("x"))
+    schema = "model_id string, round int, weights array<double>, bias double"
+    table = str(tmp_path / "models")
+
+    def publish(number, weight):
+        spark.createDataFrame([("m", number, [weight], 0.0)], schema).write.mode(
+            "append").parquet(table)
+
+    def run():
+        start_scoring(replay(spark, str(tmp_path / "readings"), readings.schema),
+                      lambda: spark.read.schema(schema).parquet(table), str(tmp_path / "run"),
+                      [F.col("x")]).awaitTermination()
+        rows = spark.read.parquet(str(tmp_path / "run" / "data")).collect()
+        return {(r.event_id, r.batch_id): (r.probability, r.anomaly) for r in rows}
+
+    publish(1, -1.0)
+    add_file(spark, readings, str(tmp_path / "readings"), 0)
+    first = run()
+    assert first[0, 0] == (pytest.approx(1 / (1 + np.e)), False) and first[3, 0] == (None, False)
+    publish(2, 1.0)
+    add_file(spark, readings, str(tmp_path / "readings"), 1)
+    second = run()
+    assert second[0, 0] == first[0, 0]
+    assert second[0, 1] == (pytest.approx(1 / (1 + np.exp(-1))), True)
+
+
 def test_lanes_take_every_reading(spark, small, tmp_path):
     readings = tables.readings(spark, small)
     stream = slices(spark, readings, str(tmp_path / "readings"), 2, "event_time")

@@ -16,9 +16,12 @@ def linear_score(features: Sequence[Column], weights: Column, bias: Column) -> C
 
 
 def sigmoid(z: Column, clip: float = S.SIGMOID_CLIP) -> Column:
-    """Logistic function; the score is clipped so that ``exp`` stays finite."""
+    """Logistic function; the score is clipped so that ``exp`` stays finite.
+
+    Null without a score: ``greatest`` and ``least`` alone would skip the null.
+    """
     bounded = F.greatest(F.lit(-clip), F.least(F.lit(clip), z))
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-bounded))
+    return F.when(z.isNotNull(), F.lit(1.0) / (F.lit(1.0) + F.exp(-bounded)))
 
 
 def probability(features: Sequence[Column], weights: Column, bias: Column) -> Column:
@@ -38,4 +41,5 @@ def is_anomaly(p: Column, threshold: float = S.DETECTION_THRESHOLD) -> Column:
 def cross_entropy(p: Column, label: Column, epsilon: float = S.LOSS_EPSILON) -> Column:
     """Loss of one row; its average is the loss of a batch."""
     q = F.greatest(F.lit(epsilon), F.least(F.lit(1.0 - epsilon), p))
-    return -(label * F.ln(q) + (F.lit(1) - label) * F.ln(F.lit(1.0) - q))
+    loss = -(label * F.ln(q) + (F.lit(1) - label) * F.ln(F.lit(1.0) - q))
+    return F.when(p.isNotNull(), loss)

@@ -43,7 +43,9 @@ def with_latest_model(readings: DataFrame, models: DataFrame, key: str = "model_
     """Join the newest model (weights and bias) of each ``model_id`` to the readings.
 
     Where a local ``weights`` or ``bias`` column exists, a part missing from the model
-    keeps its local value.
+    keeps its local value. The newest model is looked up once: on a stream it is the one at
+    the start; to follow a growing model table, call this for each micro-batch
+    (:mod:`tidalfed.streaming.scoring`).
     """
     newest = latest(models.select(key, round_column, "weights", "bias"), [key], [round_column])
     renamed = newest.select(key, F.col("weights").alias("_weights"), F.col("bias").alias("_bias"))

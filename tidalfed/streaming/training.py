@@ -14,6 +14,7 @@ from pyspark.sql.streaming import (
 from tidalfed import settings as S
 from tidalfed.operators.fedavg import fedavg_vector
 from tidalfed.operators.sequential import REPORT, Learner
+from tidalfed.operators.sizing import sized_broadcast
 from tidalfed.operators.training import evaluate, sgd_step
 from tidalfed.session import settled
 from tidalfed.streaming.rounds import MODEL
@@ -218,7 +219,7 @@ def train_by_entity(readings: DataFrame, features: Sequence[Column], *,
     if models is not None:
         members = entities.select("model_id", "edge_id", F.explode(
             F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"))
-        sent = models.join(members, "model_id").select(
+        sent = models.join(sized_broadcast(members, computed=True), "model_id").select(
             "edge_id", "lane", F.lit(0).alias("kind"), "event_time",
             F.lit(-1).cast("bigint").alias("event_id"),
             F.lit(None).cast("array<double>").alias("x"), F.lit(0).alias("label"),
