@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidalfed.llm import mixing, packing, sharding
+from tidalfed.llm import language, mixing, packing, quality, sharding, toxicity
 from tidalfed.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,11 +37,22 @@ def tokenizer() -> str:
     return public_tokenizers.path(packing.TOKENIZER)
 
 
+@query()
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query()
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer())
 
 
+@query()
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(table(spark, folder, "documents"),
+                                  table(spark, folder, "labels"))
+
+
 @query(r"""
     WITH sized AS (
         SELECT doc_id, source, md5('mix:' || doc_id) AS key,
@@ -90,6 +101,11 @@ def op7_mixing_to_target_weights(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("source", "times")
 
 
+@query()
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.languages(table(spark, folder, "documents"))
+
+
 @query()
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, folder, "documents"))
