@@ -102,3 +102,45 @@ class Codes(dict):
             self.clear()
         code = self[token] = zlib.crc32(token.encode("utf-8", "surrogatepass"))
         return code
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str],
+         most: int) -> Iterator[pa.RecordBatch]:
+    """Sorted batches cut anew so that rows of one key stay in one batch.
+
+    Each batch holds whole keys, about ``most`` rows or one key.
+    """
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        held.append(batch)
+        if sum(b.num_rows for b in held) < most:
+            continue
+        whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        change = np.zeros(whole.num_rows, bool)
+        for key in keys:
+            values = whole.column(key).to_numpy(zero_copy_only=False)
+            change[1:] |= values[1:] != values[:-1]
+        at = np.flatnonzero(change)
+        if len(at):
+            yield whole.slice(0, int(at[-1]))
+            whole = whole.slice(int(at[-1]))
+        held = [whole]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def in_blocks(members: DataFrame, key: list[str], node: str, most: int) -> DataFrame:
+    """Deal each key's members to blocks: ``_a``, ``_b`` (chunks met in the block), ``_own``.
+
+    A key of up to ``most`` members is one block. A larger one is cut into chunks, and each
+    two chunks meet in one block, so every pair meets once and no block is unbounded.
+    """
+    sizes = members.groupBy(*key).agg(F.count("*").alias("_size")).filter("_size > 1")
+    cut = members.join(sizes, key).withColumn("_cuts", F.ceil(F.col("_size") / most)).withColumn(
+        "_own", F.pmod(F.xxhash64(node), F.col("_cuts")).cast("int"))
+    met = F.explode(F.sequence(F.lit(0), (F.col("_cuts") - 1).cast("int")))
+    return cut.select("*", met.alias("_met")).select(
+        *members.columns, F.least("_own", "_met").alias("_a"),
+        F.greatest("_own", "_met").alias("_b"), "_own")

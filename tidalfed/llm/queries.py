@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidalfed.llm import language, mixing, packing, quality, sharding, toxicity
+from tidalfed.llm import (
+    fingerprints,
+    jaccard,
+    language,
+    mixing,
+    packing,
+    quality,
+    sharding,
+    toxicity,
+    vectors,
+)
 from tidalfed.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +47,16 @@ def tokenizer() -> str:
     return public_tokenizers.path(packing.TOKENIZER)
 
 
+@query()
+def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, folder, "documents"))
+
+
+@query()
+def op2_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
 @query()
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -101,6 +121,26 @@ def op7_mixing_to_target_weights(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("source", "times")
 
 
+@query(r"""
+    WITH known AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL),
+    links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b
+        FROM known a JOIN known b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+    reach AS (
+        WITH RECURSIVE r(a, b) AS (
+            SELECT a, b FROM links UNION SELECT r.a, l.b FROM r JOIN links l ON r.b = l.a)
+        SELECT a, min(b) AS low FROM r GROUP BY a)
+    SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links,
+           least(e.vec_id, r.low) AS component_id, e.vec_id = least(e.vec_id, r.low) AS kept
+    FROM embeddings e LEFT JOIN reach r ON e.vec_id = r.a
+         LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON e.vec_id = n.a""")
+def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
 @query()
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.languages(table(spark, folder, "documents"))
