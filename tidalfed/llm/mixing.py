@@ -57,11 +57,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET,
         repeats: int = REPEATS, seed: str = SEED) -> DataFrame:
-    """The input's rows with ``size``, ``source_size``, ``target``, ``taken``, ``times``.
-
-    Columns of those names in the input are replaced.
-    """
-    queued = queue(docs.select("doc_id", "text", "source"), weights, budget, repeats, seed)
+    """doc_id, size, source_size, target, taken, source, times (how often a row is taken)."""
+    queued = queue(docs, weights, budget, repeats, seed)
     return queued.select("doc_id", "size", "source_size", "target",
                          (F.col("times") * F.col("size")).alias("taken"), "source", "times")
 
@@ -74,6 +71,7 @@ def queue(docs: DataFrame, weights: tuple[int, ...], budget: float, repeats: int
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"),
                                                      F.lit("null"))).cast("binary"))
         .alias("_key"))
+    rows = settled(rows, "sizes")  # texts are read once, not again for the range bounds
     lined = running_totals(rows, [*SOURCE_ORDER, "_key", "size"], "size", "queues")
     sources, goal = source_targets(lined, weights, budget, repeats)
     sources = settled(sources, "targets")

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,13 @@ PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 class WordIds(dict):
-    """Ids of a chunk between spaces as little-endian bytes, remembered up to a million."""
+    """Ids of a chunk between spaces as little-endian bytes, remembered up to a limit.
+
+    Letters are split from what is not a letter and lower-cased by the tokenizer itself, so
+    a chunk of letters with one mark after it is looked up in two parts, in lower case.
+    """
+
+    MOST = 600_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -41,20 +48,30 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
 
     def __missing__(self, chunk: str) -> bytes:
-        if len(self) > 1_000_000:
+        if chunk[-1:] in (",", ".") and chunk[:-1].isalpha():
+            return self[chunk[:-1]] + self[chunk[-1]]
+        if chunk.isalpha() and "\u03a3" not in chunk and chunk != chunk.lower():
+            return self[chunk.lower()]  # sigma is lower-cased by its place in Python only
+        if len(self) > self.MOST:
             self.clear()
         ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
         code = self[chunk] = np.array(ids, dtype="<u4").tobytes()
         return code
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    """One memory per Python worker, kept from task to task."""
+    return WordIds(path)
+
+
 def tokenized(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece. The tokenizer drops white space and never joins across it, so the
     ids of a text are those of its chunks between spaces and line ends, one after another.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_path)
+        words = word_ids(tokenizer_path)
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             out: list[list[int]] = [[], [], [], [], []]

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidalfed.llm.common import running_totals, whole_text
+from tidalfed.llm.common import running_totals, settled, whole_text
 
 SHARDS = 16
 #: Equal texts stay together while they fill at most this share of a shard.
@@ -30,6 +30,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS,
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(text).alias("_text"))
+    rows = settled(rows, "sizes")  # texts are read once, not again for the range bounds
     placed = running_totals(rows, ["_text", "doc_id"], "size", "shards")
     total = placed.agg(F.sum("size")).first()[0] or 0
     groups = placed.groupBy("_text").agg(
