@@ -14,6 +14,7 @@ from tidalfed.llm import (
     packing,
     quality,
     sharding,
+    substrings,
     toxicity,
     vectors,
 )
@@ -62,6 +63,11 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query()
+def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.removed_bytes(table(spark, folder, "documents"))
+
+
 @query()
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer())
