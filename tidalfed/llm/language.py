@@ -152,43 +152,45 @@ def fit(sample: DataFrame) -> Network | None:
                  np.array([languages.index(label) for _, label in rows]), languages)
 
 
-def predict(docs: DataFrame, net: Network | None, block: int = 128) -> DataFrame:
-    """doc_id, lang_pred, score of every text; windows go through the network in blocks."""
+def classified(net: Network | None, texts: list[str | None],
+               block: int = 128) -> tuple[list[str], list[float]]:
+    """Label and score of each text; windows go through the network in blocks."""
+    known = [i for i, t in enumerate(texts) if net and t and LETTER.search(t)]
+    labels, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    mass, weight = np.zeros((len(texts), len(net.languages) if net else 0)), {}
+    held, owner, sizes = [], [], []
+
+    def flush() -> None:
+        found = net.probabilities(np.concatenate(held))
+        np.add.at(mass, np.array(owner), found * np.array(sizes)[:, None])
+        held.clear(), owner.clear(), sizes.clear()
+
+    for i in known:
+        data = texts[i].encode("utf-8", "surrogatepass")
+        weight[i] = len(data)
+        cut = windows_of(data)
+        for at in range(0, len(cut), block):
+            part = cut[at:at + block]
+            held.append(part)
+            owner += [i] * len(part)
+            sizes += [min(WINDOW, len(data) - WINDOW * (at + k)) for k in range(len(part))]
+            if len(owner) >= block:
+                flush()
+    if owner:
+        flush()
+    for i in known:
+        best = int(mass[i].argmax())
+        labels[i], scores[i] = net.languages[best], min(float(mass[i][best] / weight[i]), 1.0)
+    return labels, scores
+
+
+def predict(docs: DataFrame, net: Network | None) -> DataFrame:
+    """doc_id, lang_pred, score of every text."""
     shared = docs.sparkSession.sparkContext.broadcast(net)  # a few thousand numbers
 
-    def documents(texts: list[str | None]) -> tuple[list[str], list[float]]:
-        net = shared.value
-        known = [i for i, t in enumerate(texts) if net and t and LETTER.search(t)]
-        labels, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-        mass, weight = np.zeros((len(texts), len(net.languages) if net else 0)), {}
-        held, owner, sizes = [], [], []
-
-        def flush() -> None:
-            found = net.probabilities(np.concatenate(held))
-            np.add.at(mass, np.array(owner), found * np.array(sizes)[:, None])
-            held.clear(), owner.clear(), sizes.clear()
-
-        for i in known:
-            data = texts[i].encode("utf-8", "surrogatepass")
-            weight[i] = len(data)
-            cut = windows_of(data)
-            for at in range(0, len(cut), block):
-                part = cut[at:at + block]
-                held.append(part)
-                owner += [i] * len(part)
-                sizes += [min(WINDOW, len(data) - WINDOW * (at + k)) for k in range(len(part))]
-                if len(owner) >= block:
-                    flush()
-        if owner:
-            flush()
-        for i in known:
-            best = int(mass[i].argmax())
-            labels[i], scores[i] = net.languages[best], min(float(mass[i][best] / weight[i]), 1.0)
-        return labels, scores
-
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels, scores = documents(batch.column(1).to_pylist())
+            labels, scores = classified(shared.value, batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(labels, pa.string()), pa.array(scores, pa.float64())],
                 names=["doc_id", "lang_pred", "score"])
@@ -197,6 +199,19 @@ def predict(docs: DataFrame, net: Network | None, block: int = 128) -> DataFrame
         scan, "doc_id long, lang_pred string, score double")
 
 
+def in_a_language(docs: DataFrame, net: Network | None) -> DataFrame:
+    """The documents, all columns as they are, whose text is in one of the languages."""
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+    at = docs.columns.index("text")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels, _ = classified(shared.value, batch.column(at).to_pylist())
+            yield batch.filter(pa.array([x != UNKNOWN for x in labels], pa.bool_()))
+
+    return docs.mapInArrow(scan, docs.schema)
+
+
 def train_on(docs: DataFrame, rows: int = TRAIN_ROWS) -> Network | None:
     modulus, held = HOLD_OUT
     usable = F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), modulus) != held)

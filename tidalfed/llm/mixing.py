@@ -63,10 +63,22 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUD
                          (F.col("times") * F.col("size")).alias("taken"), "source", "times")
 
 
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET,
+          repeats: int = REPEATS, seed: str = SEED) -> DataFrame:
+    """The documents, each as often as the mix takes it, with their own columns alone."""
+    rows = settled(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "rows")
+    times = queue(rows, weights, budget, repeats, seed, ("_mix_row",)).filter(
+        "times > 0").select("_mix_row", F.sequence(F.lit(1), "times").alias("_mix_times"))
+    return rows.join(times, "_mix_row").withColumn(
+        "_mix_time", F.explode("_mix_times")).select(
+        *(rows[c] for c in docs.columns))
+
+
 def queue(docs: DataFrame, weights: tuple[int, ...], budget: float, repeats: int,
-          seed: str) -> DataFrame:
+          seed: str, carried: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document with its ``times`` and the ``carried`` columns."""
     rows = docs.select(
-        "doc_id", "source", F.col("source").isNull().alias("_no_source"),
+        *carried, "doc_id", "source", F.col("source").isNull().alias("_no_source"),
         word_count().alias("size"),
         F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"),
                                                      F.lit("null"))).cast("binary"))
@@ -81,7 +93,7 @@ def queue(docs: DataFrame, weights: tuple[int, ...], budget: float, repeats: int
                         & starts["source"].eqNullSafe(sources["source"])).select(
         starts["source"].alias("_source"), "_start", "source_size", "_place", "target")
     timed = settled(lined.join(keyed, F.col("source").eqNullSafe(F.col("_source"))).select(
-        "doc_id", "source", "size", "source_size", "target", "_place",
+        *carried, "doc_id", "source", "size", "source_size", "target", "_place",
         (F.col("_before") - F.col("_start") + F.col("size")).alias("_end")), "timed")
     finish = finish_time(F.col("_end") + F.col("_pass") * F.col("source_size"))
     turns = timed.filter("size > 0").select(
