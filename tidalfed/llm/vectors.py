@@ -10,6 +10,7 @@ Equal vectors are one class with a number of copies, never pairs. Buckets above
 classes are cut into chunks that meet two by two, so no pair is lost and no task holds an
 unbounded bucket. Null, zero and non-finite vectors and rows without a label link with
 nothing; vectors of different lengths never link. Rows that share a vec_id are one node.
+Labels are whole numbers. An empty table gives an empty result.
 """
 
 from __future__ import annotations
