@@ -215,3 +215,16 @@ def test_pipeline_odd_rows(spark):
         for _, stage in corpus_pipeline.STAGES:
             kept = stage(spark, kept, "")
         assert (kept.count() > 0) == bool(rows)
+
+
+def test_toxicity_ranks_held_out_texts(spark):
+    # At sf0.01 (18 toxic held-out texts) the share is 0.889; this is the larger table.
+    folder = "/root/testdata/sf0.1"
+    known = spark.read.parquet(f"{folder}/labels.parquet")
+    graded = toxicity.toxicity(spark.read.parquet(f"{folder}/documents.parquet"), known)
+    found = graded.filter("held_out").join(known, "doc_id").filter(
+        "toxic IS NOT NULL").select("severity", "toxic").collect()
+    bad = [r[0] for r in found if r[1] == 1]
+    good = [r[0] for r in found if r[1] == 0]
+    above = sum((b > g) + 0.5 * (b == g) for b in bad for g in good)
+    assert above >= 0.9 * len(bad) * len(good) > 0
