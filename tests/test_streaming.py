@@ -231,6 +231,48 @@ def test_keyed_training_over_batches_equals_the_table_form(spark, small, tmp_pat
             want[key].n_samples, want[key].total_samples, want[key].anomalies_detected)
 
 
+def test_keyed_training_does_not_depend_on_file_or_arrow_order(spark, small, tmp_path):
+    readings, features = tables.readings(spark, small), X.zscore("voltage", "current")
+    source, key = str(tmp_path / "readings"), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    readings.repartition(6, F.xxhash64("event_id")).sortWithinPartitions(
+        F.xxhash64("event_id")).write.parquet(source)
+    spark.conf.set(key, "37")
+    try:
+        streamed = run_to_table(train_by_entity(
+            spark.readStream.schema(readings.schema).parquet(source), features),
+            str(tmp_path / "run")).collect()
+    finally:
+        spark.conf.set(key, "10000")
+    want = {(r.edge_id, r["round"]): r
+            for r in train_sequential(readings, features=features).collect()}
+    assert {(r.edge_id, r["round"]) for r in streamed} == want.keys()
+    for row in streamed:
+        assert row.weights == pytest.approx(want[row.edge_id, row["round"]].weights)
+
+
+def test_nodes_keep_their_steps_until_a_newer_global_model(spark, tmp_path):
+    schema = "model_id string, node_id int, x double, label int"
+    files = [[("m", 1, 1.0, 1), ("m", 2, 2.0, 0)], [("m", 1, 1.0, 1)], [("m", 1, 1.0, 1)],
+             [("m", 2, 2.0, 0)]]
+    for number, rows in enumerate(files):
+        add_file(spark, spark.createDataFrame(rows, schema), str(tmp_path / "u"), number)
+    models, nodes = train_by_batch(replay(spark, str(tmp_path / "u"), schema),
+                                   str(tmp_path / "run"), [F.col("x")], rate=0.5, min_nodes=2)
+
+    def step(model, x, y):
+        slope = 0.5 * (1 / (1 + np.exp(-(model[0] * x + model[1]))) - y)
+        return np.array([model[0] - slope * x, model[1] - slope])
+
+    first = (step((0, 0), 1, 1) + step((0, 0), 2, 0)) / 2
+    one, two = step(step(first, 1, 1), 1, 1), step(first, 2, 0)
+    got = {r["round"]: [r.weights[0], r.bias] for r in models.collect()}
+    assert got == {1: pytest.approx(first), 2: pytest.approx((3 * one + 2 * two) / 5)}
+    kept = nodes.filter("batch_id = 2 AND node_id = 1").first()
+    assert [kept.weights[0], kept.bias] == pytest.approx(one)
+    assert (kept.n_samples, kept.adopted, kept.waiting) == (3, 1, True)
+    assert nodes.filter("batch_id = 3 AND waiting").count() == 0
+
+
 def test_scoring_follows_the_model_table(spark, tmp_path):
     readings = spark.range(4).select(
         F.when(F.col("id") == 3, "none").otherwise("m").alias("model_id"),

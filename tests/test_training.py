@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tidalfed.functions import features as X
 from tidalfed.operators import training as T
-from tidalfed.operators.sequential import last_models, train_sequential
+from tidalfed.operators.fedavg import fedavg_matrix
+from tidalfed.operators.sequential import last_models, left_out, train_sequential
 from tidalfed.sources import tables
 
 
@@ -106,6 +107,38 @@ def test_shards_train_on_every_row(readings):
     assert_updates(first, brute_force(x[100:200], y[100:200]))
 
 
+def test_shards_are_whole_batches_for_every_entity_alike(readings):
+    features = X.zscore("voltage", "current")
+    with pytest.raises(ValueError):
+        train_sequential(readings, features=features, every=32, shard_rows=50)
+    updates = train_sequential(readings, features=features, every=32, shard_rows=64,
+                               buffer_rows=32)
+    trained = updates.groupBy("edge_id").agg(F.count(F.lit(1)).alias("n")).collect()
+    whole = train_sequential(readings, features=features, every=32, buffer_rows=32)
+    assert {r.edge_id for r in trained} == {r.edge_id for r in whole.collect()}
+    assert updates.agg(F.max("total_samples")).first()[0] == 64
+    assert whole.agg(F.max("shard")).first()[0] == 0
+
+
+def test_readings_without_a_feature_are_counted(spark):
+    rows = spark.createDataFrame([("a", 1.0), ("a", None), ("b", 2.0)], "edge_id string, x double")
+    got = left_out(rows, features=[F.col("x")]).orderBy("edge_id").collect()
+    assert [tuple(r) for r in got] == [("a", 1, 2), ("b", 0, 1)]
+
+
+def test_wide_matrices_keep_their_shape(spark):
+    width = 1 << 20
+    model = F.struct(F.array(F.array_repeat(F.lit(2.0), width)).alias("coef"),
+                     F.array(F.lit(0.5)).alias("intercept"),
+                     F.array(F.lit(0), F.lit(1)).alias("classes"))
+    updates = spark.range(1).select(F.lit("m").alias("model_id"), F.col("id").alias("at"),
+                                    model.alias("weights"), F.lit(3).alias("n_samples"))
+    got = fedavg_matrix(updates, ["model_id"], "at").select(
+        F.size("global_weights.coef"), F.size(F.col("global_weights.coef")[0]),
+        "global_weights.intercept").first()
+    assert tuple(got) == (1, width, [0.5])
+
+
 def test_steps_match_numpy(spark, small):
     machine = tables.machine(spark, small).cache()
     names = [f"x{j}" for j in range(5)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidalfed import settings as S
 from tidalfed.operators.ordered import position, running, top_per_key
-from tidalfed.operators.sizing import group_sizes, key_counts, lookup, sized_broadcast
+from tidalfed.operators.sizing import key_counts, lookup, sized_broadcast
 from tidalfed.session import settled
 
 ORDER = ("event_time", "event_id")
@@ -72,10 +72,8 @@ def train_eligible(batches: DataFrame, keys: Sequence[str], minimum: int = S.TRA
 
 
 def shards(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-           shard_rows: int = S.SHARD_ROWS, group_rows: int = S.GROUP_ROWS) -> DataFrame:
-    """Cut each key into consecutive runs of at most ``shard_rows`` rows."""
-    if group_sizes(df, list(keys))[0] <= shard_rows:
-        return df.withColumn("shard", F.lit(0).cast("bigint"))
+           shard_rows: int, group_rows: int = S.GROUP_ROWS) -> DataFrame:
+    """Cut each key into consecutive runs of ``shard_rows`` rows; the last may be shorter."""
     numbered = position(df, list(keys), order, "_position", group_rows)
     return (numbered.withColumn("shard", F.expr(f"(_position - 1) div {shard_rows}"))
             .drop("_position"))

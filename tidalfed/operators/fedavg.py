@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from tidalfed.functions.features import with_default
 from tidalfed.operators.sizing import lookup, sized_broadcast
 
-SIDE = 1 << 20  # bound of each side of a coefficient matrix
 SHAPE_ERROR = "weight vectors of one group differ in shape or hold nulls"
 
 
@@ -128,21 +127,21 @@ def fedavg_matrix(updates: DataFrame, keys: Sequence[str], order_by: str,
     """
     coef, intercept = F.col(f"{model}.coef"), F.col(f"{model}.intercept")
     even = F.forall(coef, lambda row: F.size(row) == F.size(coef[0]))
-    # One number per shape, so that its minimum and maximum stay in the hash aggregate.
-    shape = F.when(even, (F.size(coef).cast("bigint") * SIDE + F.size(coef[0])) * SIDE
-                   + F.size(intercept)).otherwise(-1)
-    shaped = updates.withColumn("_shape", shape)
-    means = weighted_vectors(shaped, keys, F.concat(F.flatten(coef), intercept),
-                             F.col(samples), extra=[F.min("_shape"), F.max("_shape")])
+    # Plain numbers, so that their minima and maxima stay in the hash aggregate.
+    shaped = updates.withColumns({
+        "_rows": F.when(even, F.size(coef)).otherwise(-1), "_columns": F.size(coef[0]),
+        "_intercepts": F.size(intercept)})
+    means = weighted_vectors(shaped, keys, F.concat(F.flatten(coef), intercept), F.col(samples),
+                             extra=[of(side) for side in ("_rows", "_columns", "_intercepts")
+                                    for of in (F.min, F.max)])
     classes = updates.groupBy(*keys).agg(
         F.min_by(f"{model}.classes", order_by).alias("_classes"))
     joined = lookup(means, classes, keys)
-    intercepts = (F.col("_x0") % SIDE).cast("int")
-    columns = (F.expr(f"_x0 div {SIDE}") % SIDE).cast("int")
-    rows = F.expr(f"_x0 div {SIDE} div {SIDE}").cast("int")
+    rows, columns, intercepts = F.col("_x0"), F.col("_x2"), F.col("_x4")
     matrix = F.transform(F.sequence(F.lit(0), rows - 1),
                          lambda i: F.slice("vector", i * columns + 1, columns))
-    uneven = (F.col("_x0") != F.col("_x1")) | (F.col("_x0") < 0)
+    uneven = ((rows != F.col("_x1")) | (columns != F.col("_x3"))
+              | (intercepts != F.col("_x5")) | (rows < 0))
     return joined.select(
         *keys,
         F.struct(

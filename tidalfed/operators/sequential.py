@@ -1,17 +1,17 @@
 """Row-by-row logistic SGD, for which order matters, as a grouped function.
 
 Each entity trains on its rows in order, ``every`` rows at a time, and reports its model
-after each batch. A chain of updates cannot be split, so an entity beyond ``shard_rows``
-rows is cut into consecutive shards that train side by side, as further nodes of the same
-entity would; their models are then averaged by samples like any other nodes'. Groups stay
-bounded however large an entity is, and every row is trained on. Where one unbroken chain
-is wanted whatever it takes, ``shard_rows=None`` runs through each entity's sorted rows one
-Arrow batch at a time: memory stays bounded, but a large entity is one long task.
+after each batch. A chain of updates cannot be split: each entity's sorted rows are gone
+through one Arrow batch at a time, so memory stays bounded, but a large entity is one long
+task. Where that is too slow, the caller may ask for shards of ``shard_rows`` rows, whole
+batches each: every entity, of whatever size, is then cut into consecutive runs that train
+side by side from the zero model, as further nodes of the same entity would, and their
+models are averaged by samples like any other nodes'.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -33,25 +33,31 @@ class Learner:
     initialized: bool = False
     total_samples: int = 0
     anomalies: int = 0
-    rows: list[tuple[tuple[float, ...], int]] = field(default_factory=list)
-
-    def see(self, x: Sequence[float], y: int, *, every: int, buffer_rows: int, rate: float,
-            alpha: float, minimum: int = S.TRAIN_MINIMUM) -> dict | None:
-        """Take one reading; train and report when a batch is due."""
-        self.total_samples += 1
-        self.anomalies += int(y == 1)
-        self.rows.append((tuple(x), int(y)))
-        del self.rows[:-buffer_rows]
-        if self.total_samples % every or len(self.rows) < minimum:
-            return None
-        labels = {label for _, label in self.rows}
-        if not self.initialized and len(labels) < 2:
-            return None
-        return self._train(rate, alpha)
+    x: np.ndarray | None = None
+    y: np.ndarray = field(default_factory=lambda: np.empty(0, int))
+
+    def __post_init__(self) -> None:
+        if self.x is None:
+            self.x = np.empty((0, len(self.weights)))
+
+    def feed(self, x: np.ndarray, y: np.ndarray, *, every: int, buffer_rows: int, rate: float,
+             alpha: float, minimum: int = S.TRAIN_MINIMUM) -> Iterator[dict]:
+        """Take readings in order; train and report whenever a batch is due."""
+        at = 0
+        while at < len(y):
+            end = min(len(y), at + every - self.total_samples % every)
+            self.total_samples += end - at
+            self.anomalies += int((y[at:end] == 1).sum())
+            self.x = np.concatenate([self.x, x[at:end]])[-buffer_rows:]
+            self.y = np.concatenate([self.y, y[at:end]])[-buffer_rows:]
+            at = end
+            if self.total_samples % every or len(self.y) < minimum:
+                continue
+            if self.initialized or self.y.min() != self.y.max():
+                yield self._train(rate, alpha)
 
     def _train(self, rate: float, alpha: float) -> dict:
-        x = np.array([row for row, _ in self.rows])
-        y = np.array([label for _, label in self.rows], dtype=float)
+        x, y = self.x, self.y.astype(float)
         w, b = self.weights.copy(), self.bias
         decay = 1.0 - rate * alpha
         for features, label in zip(x, y):
@@ -67,7 +73,7 @@ class Learner:
             "anomalies_detected": self.anomalies,
         }
         self.round += 1
-        self.rows = []
+        self.x, self.y = self.x[:0], self.y[:0]
         return report
 
     def adopt(self, weights: Sequence[float] | None, bias: float | None) -> None:
@@ -87,28 +93,39 @@ def train_sequential(readings: DataFrame, *, features: Sequence[Column],
                      keys: Sequence[str] = ("edge_id",), order: Sequence[str] = ORDER,
                      label: str = "label", every: int = S.TRAIN_EVERY,
                      buffer_rows: int = S.BUFFER_ROWS, rate: float = S.LEARNING_RATE,
-                     alpha: float = S.L2_ALPHA, shard_rows: int | None = S.SHARD_ROWS,
+                     alpha: float = S.L2_ALPHA, shard_rows: int | None = None,
                      group_rows: int = S.GROUP_ROWS) -> DataFrame:
-    """One update per trained batch: ``keys, shard`` and the report of the batch."""
+    """One update per trained batch: ``keys, shard`` and the report of the batch.
+
+    Readings without a feature are no samples; :func:`left_out` counts them.
+    """
     keys, dim = list(keys), len(features)
-    if shard_rows is None:
-        cut = readings.withColumn("shard", F.lit(0).cast("bigint"))
-    else:
-        cut = shards(readings, keys, order, shard_rows, group_rows)
-    rows = cut.select(
-        *dict.fromkeys([*keys, "shard", *order]),
+    rows = readings.select(
+        *dict.fromkeys([*keys, *order]),
         *[x.alias(f"_x{j}") for j, x in enumerate(features)],
         F.coalesce(label, F.lit(0)).alias("_y"),
     ).dropna(subset=[f"_x{j}" for j in range(dim)])
+    if shard_rows is None:
+        cut = rows.withColumn("shard", F.lit(0).cast("bigint"))
+    elif shard_rows % every:
+        raise ValueError(f"shard_rows must be a multiple of every ({every})")
+    else:
+        cut = shards(rows, keys, order, shard_rows, group_rows)
+    apart = [*keys, "shard"]
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                      for f in rows.select(*keys, "shard").schema.fields)
-    trainer = Trainer([*keys, "shard"], dim, {
+                      for f in cut.select(*apart).schema.fields)
+    trainer = Trainer(apart, dim, {
         "every": every, "buffer_rows": buffer_rows, "rate": rate, "alpha": alpha})
-    schema = f"{types}, {REPORT}"
-    if shard_rows is None:
-        ordered = rows.repartition(*keys).sortWithinPartitions(*keys, *order)
-        return ordered.mapInPandas(trainer.train_sorted, schema)
-    return rows.groupBy(*keys, "shard").applyInPandas(trainer.grouped(list(order)), schema)
+    ordered = cut.repartition(*apart).sortWithinPartitions(*apart, *order)
+    return ordered.mapInPandas(trainer.train_sorted, f"{types}, {REPORT}")
+
+
+def left_out(readings: DataFrame, *, features: Sequence[Column],
+             keys: Sequence[str] = ("edge_id",)) -> DataFrame:
+    """Number of readings of each key that lack a feature, and of all its readings."""
+    lacking = F.exists(F.array(*features), lambda v: v.isNull())
+    return readings.groupBy(*keys).agg(F.count_if(lacking).alias("left_out"),
+                                       F.count(F.lit(1)).alias("readings"))
 
 
 @dataclass
@@ -119,14 +136,6 @@ class Trainer:
     dim: int
     options: dict
 
-    def grouped(self, order: list[str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
-        """For one group at a time."""
-
-        def train(rows: pd.DataFrame) -> pd.DataFrame:
-            return self._learn(Learner(np.zeros(self.dim)), rows.sort_values(order))
-
-        return train
-
     def train_sorted(self, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """For rows sorted by key and order; a key may go on from one frame to the next."""
         current, learner = None, Learner(np.zeros(self.dim))
@@ -140,7 +149,7 @@ class Trainer:
     def _learn(self, learner: Learner, rows: pd.DataFrame) -> pd.DataFrame:
         x = rows[[f"_x{j}" for j in range(self.dim)]].to_numpy(dtype=float)
         y = rows["_y"].to_numpy(dtype=int)
-        reports = [r for r in (learner.see(a, b, **self.options) for a, b in zip(x, y)) if r]
+        reports = list(learner.feed(x, y, **self.options))
         result = pd.DataFrame(reports, columns=[part.split()[0] for part in REPORT.split(", ")])
         for at, name in enumerate(self.keys):
             result.insert(at, name, rows[name].iloc[0])

@@ -74,6 +74,5 @@ MACHINE_MODEL_TOPIC = "global-model"
 
 # Scale bounds: what one task, one list or one broadcast may hold.
 GROUP_ROWS = 4_000_000
-SHARD_ROWS = 50_000
 LIST_ROWS = 10_000
 BROADCAST_BYTES = 64 * 1024 * 1024

@@ -21,14 +21,16 @@ from tidalfed.streaming.rounds import MODEL
 from tidalfed.streaming.run import BatchTable
 
 NODE = ("model_id string, node_id int, weights array<double>, bias double, n_samples bigint, "
-        "loss double, accuracy double, batch bigint")
+        "loss double, accuracy double, batch bigint, adopted int, waiting boolean")
 
 
 class BatchTraining:
     """One step per node and micro-batch, then a round, then the next batch starts from it.
 
-    Used as a ``foreachBatch`` function. The model table is the way back to the nodes:
-    every batch starts from the newest global model in it. ``n_samples`` counts a node's
+    Used as a ``foreachBatch`` function. The model table is the way back to the nodes: a
+    node adopts each global model once (``adopted`` is its round) and goes on from its own
+    until a newer one comes. Its newest update is ``waiting`` until a round takes it, which
+    needs ``min_nodes`` of them, from whatever batches. ``n_samples`` counts a node's
     rows since its start and is not reset by a global model. A batch reads the tables of
     the batch before only; they hold the newest row of every node and model.
     """
@@ -62,30 +64,44 @@ class BatchTraining:
         start = settled(self._start(batch, known, newest))
         stepped = settled(sgd_step(batch, start, rate=self.rate, **step))
         scores = evaluate(batch, stepped, **step).select(*keys, "loss", "accuracy")
-        trained = settled(stepped.join(scores, keys).join(start.select(*keys, "_before"), keys)
+        trained = settled(stepped.join(scores, keys)
+                          .join(start.select(*keys, "_before", "adopted"), keys)
                           .withColumn("n_samples", F.col("n_samples") + F.col("_before"))
-                          .withColumn("batch", F.lit(batch_id)).drop("_before"))
+                          .withColumn("batch", F.lit(batch_id))
+                          .withColumn("waiting", F.lit(True)).drop("_before"))
         idle = known.join(trained.select(*keys), keys, "left_anti")
-        self.nodes.write(trained.unionByName(idle), batch_id)
+        nodes = settled(trained.unionByName(idle))
 
         done = newest.select("model_id", "round")
-        models = settled(fedavg_vector(trained, ["model_id"])
+        models = settled(fedavg_vector(nodes.filter("waiting"), ["model_id"])
                          .filter(F.col("updates") >= self.min_nodes)
                          .join(done, "model_id", "left")
                          .withColumn("round", F.coalesce("round", F.lit(0)) + 1))
+        closed = models.select("model_id", F.lit(True).alias("_closed"))
+        self.nodes.write(nodes.join(closed, "model_id", "left").withColumn(
+            "waiting", F.col("waiting") & F.col("_closed").isNull()), batch_id)
         kept = newest.join(models.select("model_id"), "model_id", "left_anti")
         self.models.write(models.unionByName(kept), batch_id)
 
     def _start(self, batch: DataFrame, known: DataFrame, newest: DataFrame) -> DataFrame:
-        """The model each node of the batch starts from: global, else its own, else zero."""
+        """The model each node of the batch starts from.
+
+        That is a global model newer than the one it last adopted, else its own, else zero.
+        """
         keys = ["model_id", "node_id"]
         zero = F.array_repeat(F.lit(0.0), len(self.features))
-        models = newest.select("model_id", F.col("weights").alias("_gw"),
-                               F.col("bias").alias("_gb"))
+        models = newest.select("model_id", F.col("round").alias("_round"),
+                               F.col("weights").alias("_gw"), F.col("bias").alias("_gb"))
+        adopted = F.coalesce("adopted", F.lit(0))
+        newer = F.col("_round") > adopted
         return (batch.select(*keys).distinct().join(known, keys, "left")
                 .join(models, "model_id", "left")
-                .select(*keys, F.coalesce("_gw", "weights", zero).alias("weights"),
-                        F.coalesce("_gb", "bias", F.lit(0.0)).alias("bias"),
+                .select(*keys,
+                        F.when(newer, F.col("_gw")).otherwise(F.coalesce("weights", zero))
+                        .alias("weights"),
+                        F.when(newer, F.col("_gb")).otherwise(F.coalesce("bias", F.lit(0.0)))
+                        .alias("bias"),
+                        F.when(newer, F.col("_round")).otherwise(adopted).alias("adopted"),
                         F.coalesce("n_samples", F.lit(0)).alias("_before")))
 
 
@@ -114,9 +130,10 @@ class EdgeModel(StatefulProcessor):
     """The model of one entity (or of one lane of it) between micro-batches.
 
     Trains whenever ``every`` further readings have come, and adopts global models as they
-    come. Messages count in the order they arrive, as from a topic; those of one Arrow batch
-    are put in order of event time. With ``publish_ms`` the current model is also reported
-    by a processing-time timer.
+    come. Triggers count in the order they arrive, as from a topic; the messages of one trigger
+    are put in order of event time and id, whatever files or Arrow batches they came in. A
+    task holds one key's messages of one trigger, which the source's admission options bound.
+    With ``publish_ms`` the current model is also reported by a processing-time timer.
     """
 
     def __init__(self, features: int, every: int, buffer_rows: int, rate: float, alpha: float,
@@ -137,18 +154,18 @@ class EdgeModel(StatefulProcessor):
         learner = self._load()
         if self.publish_ms and not self.model.exists():
             self._schedule(timerValues)
-        for chunk in rows:
-            reports = []
-            ordered = chunk.sort_values(["event_time", "kind", "event_id"], kind="stable")
-            for row in ordered.itertuples(index=False):
-                if row.kind == 0:
-                    learner.adopt(row.weights, row.bias)
-                    continue
-                report = learner.see(row.x, int(row.label), **self.options)
-                if report:
-                    reports.append(report)
-            if reports:
-                yield self._frame(key, reports)
+        # Arrow batches come in any order: the trigger's rows of the key are sorted as a whole.
+        ordered = pd.concat(rows).sort_values(["event_time", "kind", "event_id"], kind="stable")
+        reports = []
+        for _, run in ordered.groupby((ordered["kind"] == 0).cumsum().to_numpy(), sort=False):
+            if run["kind"].iloc[0] == 0:
+                learner.adopt(run["weights"].iloc[0], run["bias"].iloc[0])
+                run = run.iloc[1:]
+            if len(run):
+                reports.extend(learner.feed(np.array(run["x"].tolist(), dtype=float),
+                                            run["label"].to_numpy(dtype=int), **self.options))
+        if reports:
+            yield self._frame(key, reports)
         self._store(learner)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -178,15 +195,16 @@ class EdgeModel(StatefulProcessor):
         if not self.model.exists():
             return Learner(np.zeros(self.features))
         weights, bias, number, initialized, total, anomalies = self.model.get()
-        rows = [(tuple(x), y) for x, y in self.waiting.get()]
+        rows = list(self.waiting.get())
+        x = np.array([x for x, _ in rows], dtype=float).reshape(len(rows), self.features)
         return Learner(np.asarray(weights, dtype=float), bias, number, initialized, total,
-                       anomalies, rows)
+                       anomalies, x, np.array([y for _, y in rows], dtype=int))
 
     def _store(self, learner: Learner) -> None:
         self.model.update((learner.weights.tolist(), learner.bias, learner.round,
                            learner.initialized, learner.total_samples, learner.anomalies))
-        if learner.rows:
-            self.waiting.put([([float(v) for v in x], y) for x, y in learner.rows])
+        if len(learner.y):
+            self.waiting.put(list(zip(learner.x.tolist(), learner.y.tolist())))
         else:
             self.waiting.clear()
 
