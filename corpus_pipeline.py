@@ -19,6 +19,9 @@ from tidalfed.session import prepare
 
 #: Tokens and classes decide here; SQL has neither the tokenizer nor the trained network.
 ORACLE_SQL = None
+#: Near copies in the pipeline: words of a shingle, and least Jaccard similarity in per cent.
+#: The query op1_ngram_jaccard_join has numbers of its own (``jaccard.GRAM``, ``SHARE``).
+GRAM, SHARE = 5, 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -30,8 +33,8 @@ def language_id(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Operator 1: of each group of near copies, the document with the smallest id stays."""
     prepare(spark)
-    copies = jaccard.jaccard_components(docs).filter("component_id <> doc_id").select(
-        F.col("doc_id").alias("_copy")).distinct()
+    copies = jaccard.jaccard_components(docs, gram=GRAM, share=SHARE).filter(
+        "component_id <> doc_id").select(F.col("doc_id").alias("_copy")).distinct()
     return docs.join(copies, docs["doc_id"].cast("long") == copies["_copy"], "left_anti")
 
 
