@@ -5,8 +5,10 @@ term of weight w and a draw k, r and c are Gamma(2, 1) numbers and beta a unifor
 computed from hashes of (term, k): t = floor(ln w / r + beta), and the term's sample is
 ln c - r (t - beta + 1). The least sample of a draw is the signature's value: two texts
 agree in it when the same term at the same level t wins, which happens at the rate of their
-generalized Jaccard similarity. A signature has ``BINS`` x ``DRAWS`` values: terms are dealt
-to bins by hash, and each bin takes its own draws, so that a term is sampled ``DRAWS`` times.
+generalized Jaccard similarity. A signature has ``PARTS`` x ``DRAWS`` values, and every term
+takes part in each of them. A sample depends on the term, its weight and the draw only, so
+terms are counted first and equal ones of equal weight are drawn once for a whole slice. Parts
+are rows of their own to keep the generated code short enough to be compiled.
 
 Fingerprints are 16 hex digits per value. Likeness is the share of equal values among those
 that are not empty in both; two texts without terms are alike (1). Null texts count as
@@ -21,25 +23,29 @@ from pyspark.sql import functions as F
 
 from tidalfed.llm.common import whole_text
 
-BINS, DRAWS = 8, 8
+PARTS, DRAWS = 8, 8
 #: Bytes of text in one slice of the id order; slices are what tasks work on.
 SLICE = 4 << 20
 EMPTY = "-" * 16
 
 
-def uniform(seed: int, *terms: str) -> Column:
-    """A number above 0 and below 1 from a hash of the columns."""
-    bits = F.shiftrightunsigned(F.xxhash64(*(F.col(t) for t in terms), F.lit(seed)), 11)
-    return (bits.cast("double") + 0.5) / float(1 << 53)
+def uniforms(seed: int, *terms: str) -> tuple[Column, Column]:
+    """Two numbers above 0 and below 1 from the halves of a hash of the columns."""
+    bits = F.xxhash64(*(F.col(t) for t in terms), F.lit(seed))
+    halves = F.shiftrightunsigned(bits, 32), bits.bitwiseAND(F.lit((1 << 32) - 1))
+    return tuple((h.cast("double") + 0.5) / float(1 << 32) for h in halves)
 
 
 def samples(draws: int) -> list[Column]:
-    """``s0``, ``s1``, ...: the term's sample in each draw, from ``term`` and ``log_weight``."""
+    """``s0``, ``s1``, ...: the term's sample in each draw of a part, from ``term``, ``part``
+    and ``log_weight``."""
     out = []
     for k in range(draws):
-        r = -F.log(uniform(5 * k, "term") * uniform(5 * k + 1, "term"))
-        c = -F.log(uniform(5 * k + 2, "term") * uniform(5 * k + 3, "term"))
-        beta = uniform(5 * k + 4, "term")
+        one, two = uniforms(3 * k, "term", "part")
+        r = -F.log(one * two)
+        one, two = uniforms(3 * k + 1, "term", "part")
+        c = -F.log(one * two)
+        beta, _ = uniforms(3 * k + 2, "term", "part")
         level = F.floor(F.col("log_weight") / r + beta)
         out.append((F.log(c) - r * (level - beta + 1)).alias(f"s{k}"))
     return out
@@ -80,7 +86,7 @@ def with_next(docs: DataFrame, slice_bytes: int) -> DataFrame:
                         F.row_number().over(line).alias("_place"))
 
 
-def signatures(texts: DataFrame, bins: int, draws: int) -> DataFrame:
+def signatures(texts: DataFrame, parts: int, draws: int) -> DataFrame:
     """``_slice``, ``_place``, ``fingerprint``, ``edited_fingerprint``; no shuffle by term."""
     terms = texts.select("_slice", "_place", F.explode(F.array(
         F.struct(F.lit(0).alias("kind"), F.col("text").alias("body")),
@@ -93,20 +99,24 @@ def signatures(texts: DataFrame, bins: int, draws: int) -> DataFrame:
             F.slice("words", F.lit(2), F.size("words")).alias("two"))).alias("pair")).select(
         "_slice", "_place", "kind", F.xxhash64("pair.one", "pair.two").alias("term"))
     weighed = terms.groupBy("_slice", "_place", "kind", "term").agg(
-        F.log(F.count("*")).alias("log_weight"))
-    drawn = weighed.select("_slice", "_place", "kind",
-                           F.pmod(F.xxhash64("term"), F.lit(bins)).alias("bin"),
-                           *samples(draws))
-    least = drawn.groupBy("_slice", "_place", "kind", "bin").agg(
-        *(F.min(f"s{k}").alias(f"s{k}") for k in range(draws)))
-    values = F.concat(*(F.lpad(F.hex(F.xxhash64(f"s{k}")), 16, "0") for k in range(draws)))
-    named = least.select("_slice", "_place", "kind", "bin", F.lower(values).alias("value"))
+        F.count("*").alias("weight"))
+    # The list of a term names texts of one slice, each at most twice.
+    shared = weighed.groupBy("_slice", "term", "weight").agg(
+        F.collect_list(F.struct("_place", "kind")).alias("_texts"))
+    drawn = shared.select("_slice", "term", F.log("weight").alias("log_weight"), "_texts",
+                          F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")).select(
+        "_slice", "part", "_texts", *samples(draws))
+    names = [f"s{k}" for k in range(draws)]
+    least = drawn.select("_slice", "part", *names, F.explode("_texts").alias("_one")).groupBy(
+        "_slice", "_one._place", "_one.kind", "part").agg(*(F.min(s).alias(s) for s in names))
+    values = F.concat(*(F.lpad(F.hex(F.xxhash64(s)), 16, "0") for s in names))
+    named = least.select("_slice", "_place", "kind", "part", F.lower(values).alias("value"))
 
     def whole(kind: int) -> Column:
-        parts = [F.coalesce(F.max(F.when((F.col("kind") == kind) & (F.col("bin") == b),
-                                         F.col("value"))), F.lit(EMPTY * draws))
-                 for b in range(bins)]
-        return F.concat(*parts)
+        return F.concat(*(
+            F.coalesce(F.max(F.when((F.col("kind") == kind) & (F.col("part") == p),
+                                    F.col("value"))), F.lit(EMPTY * draws))
+            for p in range(parts)))
 
     return named.groupBy("_slice", "_place").agg(
         whole(0).alias("fingerprint"), whole(1).alias("edited_fingerprint"))
@@ -122,7 +132,7 @@ def likeness(a: str, b: str, values: int) -> Column:
     return F.when(known > 0, equal / known).otherwise(F.lit(1.0))
 
 
-def fingerprints(docs: DataFrame, bins: int = BINS, draws: int = DRAWS,
+def fingerprints(docs: DataFrame, parts: int = PARTS, draws: int = DRAWS,
                  slice_bytes: int = SLICE) -> DataFrame:
     """doc_id, n_chars, edited_sha256, both fingerprints, near_edited, near_next."""
     n = F.length("text")
@@ -133,13 +143,13 @@ def fingerprints(docs: DataFrame, bins: int = BINS, draws: int = DRAWS,
     # The window and both aggregates share the dealing by slice: texts are shuffled once.
     plain = texts.select("_slice", "_place", "_guest", "doc_id", n.cast("long").alias("n_chars"),
                          F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-    blank = F.lit(EMPTY * (bins * draws))
+    blank = F.lit(EMPTY * (parts * draws))
     line = Window.partitionBy("_slice").orderBy("_place")
-    joined = plain.join(signatures(texts, bins, draws), ["_slice", "_place"], "left").select(
+    joined = plain.join(signatures(texts, parts, draws), ["_slice", "_place"], "left").select(
         *plain.columns, F.coalesce("fingerprint", blank).alias("fingerprint"),
         F.coalesce("edited_fingerprint", blank).alias("edited_fingerprint")).withColumn(
         "_next_print", F.lead("fingerprint").over(line))
-    values = bins * draws
+    values = parts * draws
     return joined.filter(~F.col("_guest")).select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness("fingerprint", "edited_fingerprint", values).alias("near_edited"),
