@@ -12,6 +12,7 @@ from tidalfed.llm import (
     language,
     mixing,
     packing,
+    pieces,
     quality,
     sharding,
     substrings,
@@ -41,11 +42,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def tokenizer() -> str:
-    """Place of the tokenizer's file; the file itself is not part of the repository."""
+def tokenizer(name: str = packing.TOKENIZER) -> str:
+    """Place of a tokenizer's file; the files themselves are not part of the repository."""
     import public_tokenizers
 
-    return public_tokenizers.path(packing.TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 @query()
@@ -155,3 +156,8 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, folder, "documents"))
+
+
+@query()
+def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.digests(table(spark, folder, "documents"), tokenizer(pieces.MODEL))
