@@ -21,6 +21,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -99,7 +100,7 @@ class CharacterMap:
 class Pieces:
     """A model: normalising, encoding and decoding. One per Python worker."""
 
-    MOST = 400_000
+    MOST, SHORT = 400_000, 100
 
     def __init__(self, path: str):
         from sentencepiece import sentencepiece_model_pb2
@@ -126,16 +127,29 @@ class Pieces:
             "" if p.type == CONTROL else model.trainer_spec.unk_surface
             if p.type == UNKNOWN else p.piece.replace(SPACE_MARK, " ") for p in model.pieces]
         self.marked = [p.type == NORMAL and p.piece.startswith(SPACE_MARK) for p in model.pieces]
-        # A mark may be cut off on its left if no piece has one after another character.
-        mark = self.mark.decode()
-        known = "".join(sorted({re.escape(c) for piece in self.ids for c in piece} - {
-            re.escape(mark)}))
-        inside = any(mark in piece.lstrip(mark) for piece in self.ids)
-        self.word = re.compile(
-            f"[{known}{mark}]+|[^{known}{mark}]" if inside else
-            f"{mark}*[{known}]+|{mark}+|[^{known}{mark}]")
+        self.word = self._words_between_cuts()
+        self.codes = {p: np.array([i, n, n], "<i4").tobytes() for p, i in self.ids.items()
+                      for n in [len(p.encode())]}
         self.words: dict[str, bytes] = {}
 
+    def _words_between_cuts(self) -> re.Pattern:
+        """Words that no merge can leave: characters outside the vocabulary stand alone, and a
+        cut is made before a run of marks, or where letters meet others, unless a piece reaches
+        across one."""
+        mark = self.mark.decode()
+        known = {c for piece in self.ids for c in piece} - {mark}
+        letters = {c for c in known if c.isalpha()}
+        every, some, rest = ("".join(sorted(map(re.escape, group)))
+                             for group in (known, letters, known - letters))
+        if any(mark in piece.lstrip(mark) for piece in self.ids):
+            words = [f"[{every}{mark}]+"]
+        elif any((a in letters) != (b in letters) for piece in self.ids
+                 for a, b in pairwise(piece.lstrip(mark))):
+            words = [f"{mark}*[{every}]+", f"{mark}+"]
+        else:
+            words = [*(f"{mark}*[{group}]+" for group in (some, rest) if group), f"{mark}+"]
+        return re.compile("|".join([*words, f"[^{every}{mark}]"]))
+
     def normalised(self, text: str) -> tuple[bytes, np.ndarray]:
         """Normalised bytes, and the source byte each comes from, with the end as last entry."""
         source = text.encode("utf-8", "surrogatepass")
@@ -201,35 +215,49 @@ class Pieces:
         return codes[:, 0], align[begins], align[begins + codes[:, 1]]
 
     def _remembered(self, word: str) -> bytes:
+        """Rows (id, bytes of its span, bytes to move on by) of a word's pieces."""
         if len(self.words) > self.MOST:
             self.words.clear()
-        rows = []
-        for piece in self.merged(word):
-            code, size = self.ids.get(piece), len(piece.encode("utf-8", "surrogatepass"))
-            if code is not None:
-                rows.append((code, size, size))
-            elif self.byte_ids:
-                data = piece.encode("utf-8", "surrogatepass")
-                rows += [(self.byte_ids[b], size, 0) for b in data[:-1]]
-                # Byte pieces share the character's span, so the last one begins with them.
-                rows.append((self.byte_ids[data[-1]], size, size))
-            else:
-                rows.append((self.unknown, size, size))
-        code = np.array(rows, dtype="<i4").tobytes()
-        if len(word) <= 64:
+        parts = self.merged(word) if len(word) <= self.SHORT else self.merged_long(word)
+        codes = self.codes
+        code = b"".join([codes.get(part) or self._without_piece(part) for part in parts])
+        if len(word) <= self.SHORT:
             self.words[word] = code
         return code
 
+    def _without_piece(self, character: str) -> bytes:
+        """Byte pieces share the character's span: all but the last move on by nothing."""
+        data = character.encode("utf-8", "surrogatepass")
+        size = len(data)
+        ids = [self.byte_ids[b] for b in data] if self.byte_ids else [self.unknown]
+        return np.array([(i, size, 0) for i in ids[:-1]] + [(ids[-1], size, size)],
+                        "<i4").tobytes()
+
     def merged(self, word: str) -> list[str]:
         """Pieces of a word: neighbours that form a piece are joined, best score first."""
+        score, none = self.scores.get, -np.inf
+        parts = list(word)
+        gains = [score(a + b, none) for a, b in pairwise(parts)]
+        while gains:
+            best = max(gains)
+            if best == none:
+                break
+            i = gains.index(best)  # the leftmost
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del gains[i]
+            if i < len(gains):
+                gains[i] = score(parts[i] + parts[i + 1], none)
+            if i:
+                gains[i - 1] = score(parts[i - 1] + parts[i], none)
+        return parts
+
+    def merged_long(self, word: str) -> list[str]:
+        """The same with a heap, for words of any length."""
         scores, parts = self.scores, list(word)
         n = len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = []
-        for i in range(n - 1):
-            score = scores.get(parts[i] + parts[i + 1])
-            if score is not None:
-                heap.append((-score, i, parts[i] + parts[i + 1]))
+        heap = [(-scores[a + b], i, a + b) for i, (a, b) in enumerate(pairwise(parts))
+                if a + b in scores]
         heapify(heap)
         while heap:
             _, i, piece = heappop(heap)
@@ -240,14 +268,14 @@ class Pieces:
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                score = scores.get(piece + parts[k])
-                if score is not None:
-                    heappush(heap, (-score, i, piece + parts[k]))
+                joined = piece + parts[k]
+                if joined in scores:
+                    heappush(heap, (-scores[joined], i, joined))
             k = before[i]
             if k >= 0:
-                score = scores.get(parts[k] + piece)
-                if score is not None:
-                    heappush(heap, (-score, k, parts[k] + piece))
+                joined = parts[k] + piece
+                if joined in scores:
+                    heappush(heap, (-scores[joined], k, joined))
         return [part for part in parts if part is not None]
 
     def decoded(self, ids: np.ndarray) -> str:
