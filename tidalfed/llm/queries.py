@@ -11,6 +11,7 @@ from tidalfed.llm import (
     jaccard,
     language,
     mixing,
+    negatives,
     packing,
     pieces,
     quality,
@@ -161,3 +162,29 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(table(spark, folder, "documents"), tokenizer(pieces.MODEL))
+
+
+@query(r"""
+    WITH known AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(
+            embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+               list_inner_product(a.v, b.v)::BIGINT AS score
+        FROM known a JOIN known b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+    positives AS (
+        SELECT * FROM scored WHERE same QUALIFY row_number() OVER (
+            PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    negatives AS (
+        SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+               p.score AS positive_score, n.score AS negative_score,
+               row_number() OVER (PARTITION BY p.anchor_id, p.vec_id
+                                  ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank
+        FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+             AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+    SELECT * FROM negatives WHERE rank <= 3""")
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, folder, "embeddings"))
