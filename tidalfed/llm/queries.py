@@ -18,6 +18,7 @@ from tidalfed.llm import (
     sharding,
     substrings,
     toxicity,
+    tries,
     vectors,
 )
 from tidalfed.session import prepare
@@ -188,3 +189,56 @@ def op11_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     SELECT * FROM negatives WHERE rank <= 3""")
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return negatives.hard_negatives(table(spark, folder, "embeddings"))
+
+
+# crc32 by its definition, bit by bit: -1 stands for a step of the shift register.
+@query(r"""
+    WITH turns AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(
+                   len(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1
+                   AS place
+        FROM conversations WHERE conv_id IS NOT NULL),
+    ids AS (
+        SELECT DISTINCT conv_id, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(
+            list_transform(string_split(conv_id::VARCHAR, ''),
+                           lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda r, b: CASE WHEN b >= 0 THEN xor(r::BIGINT, b::BIGINT)
+                         ELSE xor(r::BIGINT >> 1, 3988292384 * (r::BIGINT & 1)) END)) % 4 AS h
+        FROM turns),
+    rebuilt AS (
+        SELECT i.conv_id, t.place, t.role, t.text
+        FROM ids i JOIN turns t ON t.conv_id = i.conv_id - i.conv_id % 20 AND t.place < i.h
+        UNION ALL
+        SELECT i.conv_id, t.place, t.role, t.text
+        FROM ids i JOIN turns t ON t.conv_id = i.conv_id AND t.place >= i.h),
+    paths AS (
+        SELECT i.conv_id, coalesce(list([r.role, r.text] ORDER BY r.place)
+                                   FILTER (r.place IS NOT NULL), []) AS path
+        FROM ids i LEFT JOIN rebuilt r USING (conv_id) GROUP BY i.conv_id),
+    prefixes AS (
+        SELECT conv_id, path, unnest(range(len(path) + 1)) AS depth FROM paths),
+    nodes AS (
+        SELECT depth, path[1:depth] AS node, min(conv_id) AS conv_id, count(*) AS n_convs,
+               sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+                               FILTER (len(path) = depth), '')) AS ends_sha256
+        FROM prefixes GROUP BY ALL),
+    families AS (
+        SELECT node[1:depth - 1] AS node, depth - 1 AS depth, count(*) AS n_children
+        FROM nodes WHERE depth > 0 GROUP BY ALL),
+    known AS (
+        SELECT n.*, coalesce(f.n_children, 0) AS n_children,
+               CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * len(regexp_extract_all(
+                   n.node[n.depth][2], '[^\x20\x09-\x0D]+')) END AS saved
+        FROM nodes n LEFT JOIN families f USING (node, depth)),
+    above AS (
+        SELECT node[1:d] AS node, d AS depth, sum(saved) AS saved_tokens,
+               count(*) FILTER (n_children = 0) AS n_leaves
+        FROM (SELECT *, unnest(range(depth + 1)) AS d FROM known) GROUP BY ALL)
+    SELECT k.conv_id, k.depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children, a.n_leaves,
+           a.saved_tokens::BIGINT AS saved_tokens, k.ends_sha256
+    FROM known k JOIN above a USING (node, depth)
+         LEFT JOIN nodes p ON k.depth > 0 AND p.depth = k.depth - 1
+                              AND p.node = k.node[1:k.depth - 1]""")
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return tries.prefix_trie(table(spark, folder, "conversations"))
