@@ -88,22 +88,22 @@ def test_top_rows_of_a_hot_key(rows):
     assert ids(got, "edge_id", "event_id") == ids(want, "edge_id", "event_id")
 
 
-@pytest.mark.parametrize("list_rows", [10_000, 25])
-def test_rollup_lists_are_paged_and_whole(rows, list_rows):
+@pytest.mark.parametrize("page_rows", [10_000, 25])
+def test_rollup_messages_add_up_at_any_size(rows, page_rows):
     updates = rows.select(
         F.lit("r").alias("region"), F.col("event_id").cast("string").alias("edge_id"),
         "event_time", F.array(F.col("x").cast("double")).alias("weights"),
         F.lit(2).alias("n_samples"), F.lit(0.5).alias("accuracy"), F.col("label").alias("anomalies"))
-    rolled = rollup.regional_rollup(updates, "100 seconds", list_rows=list_rows).cache()
-    longest = rolled.agg(F.max(F.size("all_weights"))).first()[0]
-    members = [r[0] for r in rolled.select(F.explode("contributing_edges")).collect()]
+    pages = rollup.regional_pages(updates, "100 seconds", page_rows, group_rows=200).cache()
+    assert pages.agg(F.max(F.size("all_weights"))).first()[0] <= page_rows
+    members = [r[0] for r in pages.select(F.explode("contributing_edges")).collect()]
     assert sorted(members, key=int) == [str(i) for i in range(3000)]
-    totals = rolled.select("window_start", "total_n_samples", "num_updates").distinct()
-    assert totals.agg(F.sum("num_updates"), F.sum("total_n_samples")).first()[:] == (3000, 6000)
-    if list_rows < 1000:
-        assert longest < 4 * list_rows
-    else:
-        assert {r.page for r in rolled.collect()} == {0}
+    added = pages.groupBy("window_start").agg(F.sum("num_updates"), F.sum("total_n_samples"))
+    totals = rollup.regional_totals(updates, "100 seconds").select(
+        "window_start", "num_updates", "total_n_samples")
+    assert sorted(map(tuple, added.collect())) == sorted(map(tuple, totals.collect()))
+    listed = rollup.regional_members(updates, "100 seconds")
+    assert listed.count() == 3000 and "page" not in listed.columns
 
 
 def copies(spark):
@@ -125,10 +125,10 @@ def test_copies_of_one_row_are_spread_over_segments(spark):
 
 
 def test_copies_of_one_update_are_spread_over_pages(spark):
-    rolled = rollup.regional_rollup(copies(spark), list_rows=50).cache()
-    sizes = [len(r.contributing_edges) for r in rolled.collect()]
-    assert sum(sizes) == 2100 and max(sizes) <= 8 * 50
-    assert {r.num_updates for r in rolled.collect()} == {2100}
+    pages = rollup.regional_pages(copies(spark), page_rows=50, group_rows=200).cache()
+    sizes = [len(r.contributing_edges) for r in pages.collect()]
+    assert sum(sizes) == 2100 and max(sizes) == 50
+    assert sum(r.num_updates for r in pages.collect()) == 2100
 
 
 def test_history_pages_join_up(spark):

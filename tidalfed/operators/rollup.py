@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidalfed import settings as S
-from tidalfed.operators.sizing import group_sizes, lookup, sized_broadcast
-from tidalfed.session import settled
+from tidalfed.operators.ordered import position
 
 KEYS = ["window", "region"]
 
@@ -40,54 +39,36 @@ def regional_totals(updates: DataFrame, duration: str = S.WINDOW,
     return _flatten(totals)
 
 
-def regional_rollup(updates: DataFrame, duration: str = S.WINDOW,
-                    watermark: str | None = None, list_rows: int = S.LIST_ROWS,
-                    stream_pages: int = 1) -> DataFrame:
-    """Roll-up with the contributing edges and their models as lists.
+MEMBER = ["edge_id", "event_time", "weights", "n_samples", "accuracy", "anomalies"]
 
-    A list is one cell of one row, so a region that takes most of the updates must not put
-    all of them into one. Groups beyond ``list_rows`` are spread over several rows, told
-    apart by ``page``; every row carries the totals of its whole group. Usual groups have
-    page 0 only. A stream cannot count ahead: there, every group is spread over
-    ``stream_pages`` rows, and each carries the totals of its own page, to be added up.
+
+def regional_members(updates: DataFrame, duration: str = S.WINDOW) -> DataFrame:
+    """The updates of each window and region, one row each: who took part, with its model.
+
+    Beside :func:`regional_totals` this is the other half of the roll-up. It needs no state,
+    on a stream as on a table, and means the same however large a group is.
     """
-    if watermark:
-        updates = updates.withWatermark("event_time", watermark)
-    rows = windowed(updates, duration)
-    member = F.struct("edge_id", "event_time", "weights")
-    lists = _lists(F.collect_list(member))
-    measures = _measures(F.col("accuracy"), F.col("anomalies"))
-    if updates.isStreaming and stream_pages > 1:
-        salt = F.xxhash64(*updates.columns)
-        paged = rows.withColumn("page", F.pmod(salt, F.lit(stream_pages)).cast("int"))
-        return _flatten(paged.groupBy(*KEYS, "page").agg(*lists, *measures))
-    if updates.isStreaming or group_sizes(rows, KEYS)[0] <= list_rows:
-        paged = rows.groupBy(*KEYS).agg(*lists, *measures).withColumn("page", F.lit(0))
-        return _flatten(paged)
-
-    totals = settled(rows.groupBy(*KEYS).agg(*measures))
-    # Copies of one update are counted first and laid out in blocks, each on its own page.
-    counted = rows.groupBy(*KEYS, "edge_id", "event_time", "weights").agg(
-        F.count(F.lit(1)).alias("_copies"))
-    blocks = counted.withColumn("_block", F.explode(
-        F.sequence(F.lit(0), F.expr(f"cast((_copies - 1) div {list_rows} AS int)"))))
-    inside = F.least(F.lit(list_rows), F.col("_copies") - F.col("_block") * list_rows)
-    pages = F.ceil(F.col("num_updates") / F.lit(list_rows))
-    salt = F.xxhash64("edge_id", "event_time", "weights", "_block")
-    salted = lookup(blocks, sized_broadcast(totals), KEYS).withColumn(
-        "page", F.pmod(salt, pages).cast("int"))
-    members = F.flatten(F.collect_list(F.array_repeat(member, inside.cast("int"))))
-    measured = [F.first(c).alias(c) for c in totals.columns if c not in KEYS]
-    return _flatten(salted.groupBy(*KEYS, "page").agg(*_lists(members), *measured))
-
-
-def _lists(members: Column) -> list[Column]:
-    """Edges and models of the members, in one order."""
-    ordered = F.array_sort(members)
-    return [
+    return _flatten(windowed(updates, duration).select(*KEYS, *MEMBER))
+
+
+def regional_pages(updates: DataFrame, duration: str = S.WINDOW, page_rows: int = S.LIST_ROWS,
+                   group_rows: int = S.GROUP_ROWS) -> DataFrame:
+    """The roll-up as messages: lists of edges and models, and the totals of just these.
+
+    A message holds at most ``page_rows`` updates, in order of edge and time; a larger group
+    is several messages, told apart by ``page``, whose totals add up to the group's.
+    """
+    rows = windowed(updates, duration).withColumn("_tie", F.xxhash64("weights", "n_samples"))
+    placed = position(rows, KEYS, ["edge_id", "event_time", "_tie"], "_position", group_rows)
+    member = F.struct("_position", "edge_id", "weights")
+    ordered = F.array_sort(F.collect_list(member))
+    pages = placed.withColumn(
+        "page", F.expr(f"cast((_position - 1) div {page_rows} AS int)")).groupBy(
+        *KEYS, "page").agg(
         F.transform(ordered, lambda m: m["edge_id"]).alias("contributing_edges"),
         F.transform(ordered, lambda m: m["weights"]).alias("all_weights"),
-    ]
+        *_measures(F.col("accuracy"), F.col("anomalies")))
+    return _flatten(pages)
 
 
 def corrected_anomalies(updates: DataFrame, duration: str = S.WINDOW) -> DataFrame:

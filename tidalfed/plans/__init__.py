@@ -5,6 +5,7 @@ from tidalfed.plans import (  # noqa: F401
     filters,
     joins,
     messages,
+    network,
     projections,
     streams,
     training,

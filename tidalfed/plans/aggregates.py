@@ -18,47 +18,69 @@ from tidalfed.session import settled
 from tidalfed.sources import tables
 
 
-@query(f"""{views("updates")}
-SELECT region, time_bucket(INTERVAL 30 SECOND, event_time) AS window_start,
-       time_bucket(INTERVAL 30 SECOND, event_time) + INTERVAL 30 SECOND AS window_end, 0 AS page,
+@query(f"""{views("updates")},
+placed AS (
+    SELECT *, time_bucket(INTERVAL 30 SECOND, event_time) AS window_start,
+           (row_number() OVER (PARTITION BY region, time_bucket(INTERVAL 30 SECOND, event_time)
+                               ORDER BY edge_id, event_time) - 1) // 10000 AS page
+    FROM updates)
+SELECT region, window_start, window_start + INTERVAL 30 SECOND AS window_end,
+       CAST(page AS INTEGER) AS page,
        string_agg(edge_id, ',' ORDER BY edge_id) AS contributing_edges,
        CAST(count(*) AS INTEGER) AS models,
-       {sql6("list_sum(list(weights[1] ORDER BY edge_id))")} AS first_weights,
+       {sql6("list_sum(list(list_sum(weights) ORDER BY edge_id))")} AS sum_of_weights,
        CAST(sum(n_samples) AS BIGINT) AS total_n_samples,
        {sql6("avg(accuracy)")} AS avg_accuracy,
        CAST(sum(anomalies) AS BIGINT) AS total_anomalies, count(*) AS num_updates
-FROM updates GROUP BY ALL""")
+FROM placed GROUP BY ALL""")
 def regional_rollup(spark: SparkSession, folder: str) -> DataFrame:
     """Contributing edges, their models and totals by 30-second window and region."""
-    rows = rollup.regional_rollup(tables.updates(spark, folder))
-    first = F.aggregate("all_weights", F.lit(0.0), lambda s, w: s + w[0])
+    return _pages(rollup.regional_pages(tables.updates(spark, folder)))
+
+
+def _pages(rows: DataFrame) -> DataFrame:
+    add = lambda a, b: a + b
+    whole = F.aggregate("all_weights", F.lit(0.0), lambda s, w: s + F.aggregate(
+        w, F.lit(0.0), add))
     return rows.select(
         "region", plain_time("window_start").alias("window_start"),
         plain_time("window_end").alias("window_end"), "page",
         F.array_join("contributing_edges", ",").alias("contributing_edges"),
-        F.size("all_weights").alias("models"), r6(first).alias("first_weights"),
+        F.size("all_weights").alias("models"), r6(whole).alias("sum_of_weights"),
         "total_n_samples", r6("avg_accuracy").alias("avg_accuracy"), "total_anomalies",
         "num_updates")
 
 
 @query(f"""{views("updates")},
-grouped AS (
-    SELECT region, time_bucket(INTERVAL 30 SECOND, event_time) AS window_start,
-           CAST(sum(n_samples) AS BIGINT) AS total_n_samples, count(*) AS num_updates
-    FROM updates GROUP BY ALL)
-SELECT u.region, window_start, edge_id, {sql6("weights[1]")} AS first_weight, total_n_samples,
-       num_updates
-FROM updates u JOIN grouped g
-    ON u.region = g.region AND time_bucket(INTERVAL 30 SECOND, event_time) = window_start""")
+placed AS (
+    SELECT *, time_bucket(INTERVAL 30 SECOND, event_time) AS window_start,
+           (row_number() OVER (PARTITION BY region, time_bucket(INTERVAL 30 SECOND, event_time)
+                               ORDER BY edge_id, event_time) - 1) // 2 AS page
+    FROM updates)
+SELECT region, window_start, window_start + INTERVAL 30 SECOND AS window_end,
+       CAST(page AS INTEGER) AS page,
+       string_agg(edge_id, ',' ORDER BY edge_id) AS contributing_edges,
+       CAST(count(*) AS INTEGER) AS models,
+       {sql6("list_sum(list(list_sum(weights) ORDER BY edge_id))")} AS sum_of_weights,
+       CAST(sum(n_samples) AS BIGINT) AS total_n_samples,
+       {sql6("avg(accuracy)")} AS avg_accuracy,
+       CAST(sum(anomalies) AS BIGINT) AS total_anomalies, count(*) AS num_updates
+FROM placed GROUP BY ALL""")
 def regional_rollup_paged(spark: SparkSession, folder: str) -> DataFrame:
-    """Members of the roll-up, with lists cut into pages as those of large groups are."""
-    rows = rollup.regional_rollup(tables.updates(spark, folder), list_rows=2)
-    pairs = F.arrays_zip("contributing_edges", "all_weights")
-    members = rows.select("region", plain_time("window_start").alias("window_start"),
-                          F.explode(pairs).alias("m"), "total_n_samples", "num_updates")
+    """The same in messages of two updates; each has the totals of its own."""
+    return _pages(rollup.regional_pages(tables.updates(spark, folder), page_rows=2))
+
+
+@query(f"""{views("cells")}
+SELECT region, time_bucket(INTERVAL 30 SECOND, event_time) AS window_start, edge_id, n_samples,
+       CAST(pos AS INTEGER) AS pos, {sql6("w")} AS value
+FROM cells WHERE pos < 64""")
+def regional_members(spark: SparkSession, folder: str) -> DataFrame:
+    """Members of the roll-up with their whole models, one row per weight."""
+    members = rollup.regional_members(tables.updates(spark, folder))
     return members.select(
-        "region", "window_start", F.col("m.contributing_edges").alias("edge_id"),
-        r6(F.col("m.all_weights")[0]).alias("first_weight"), "total_n_samples", "num_updates")
+        "region", plain_time("window_start").alias("window_start"), "edge_id", "n_samples",
+        F.posexplode("weights").alias("pos", "value")).withColumn("value", r6("value"))
 
 
 @query(f"""{views("updates")},

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from contextlib import suppress
+
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidalfed import settings as S
@@ -14,10 +17,12 @@ from tidalfed.plans.joins import (
 from tidalfed.plans.aggregates import ALERTS
 from tidalfed.operators.monitor import anomaly_alerts
 from tidalfed.plans.registry import long_model, plain_time, query, r6, sql6, views
-from tidalfed.plans.training import ALL_UPDATES, BY_PLANT, sql_long
+from tidalfed.plans.training import ALL_UPDATES, sql_long
 from tidalfed.session import run_folder
 from tidalfed.sources import tables
+from tidalfed.sources.replay import SLICES, replayed
 from tidalfed.sources.topics import table_stream
+from tidalfed.streaming.rollup import rolled_up
 from tidalfed.streaming.rounds import rounds_by_participants, rounds_by_trigger, rounds_by_window
 from tidalfed.streaming.run import run_to_table, run_upserts
 from tidalfed.streaming.training import train_by_batch, train_by_entity
@@ -25,12 +30,42 @@ from tidalfed.streaming.training import train_by_batch, train_by_entity
 DAY, DELAY = "1 day", "1 hour"
 
 
-def _readings(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.as_readings(table_stream(spark, folder, "events"))
+def _readings(spark: SparkSession, folder: str, late: Column | None = None) -> DataFrame:
+    """The readings in order of time, a slice per trigger."""
+    return replayed(tables.readings(spark, folder), run_folder(spark, "readings"), "event_time",
+                    late=late)
 
 
 def _updates(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.as_updates(table_stream(spark, folder, "embeddings"))
+    return replayed(tables.updates(spark, folder), run_folder(spark, "updates"), "event_time")
+
+
+#: Readings that arrive two slices after their time.
+LATE = "event_id % 23 = 5"
+
+
+def sql_slices(source: str, time: str = "event_time", late: str = "FALSE") -> str:
+    """Rows with the slice (trigger) each arrives in, as :func:`replayed` deals them."""
+    return f"""SELECT r.*, least({SLICES - 1}, CAST(least({SLICES - 1},
+            (epoch_us({time}) - lo) * {SLICES} // greatest(1, hi - lo)) AS INTEGER)
+            + CASE WHEN {late} THEN 2 ELSE 0 END) AS slice
+    FROM {source} r, (SELECT min(epoch_us({time})) AS lo, max(epoch_us({time})) AS hi
+                      FROM {source})"""
+
+
+def sql_watermarks(delay: str) -> str:
+    """Folds the watermark trigger by trigger: a row is late in a trigger if its window ends
+    no later than the watermark the trigger before worked with, which comes from the rows up
+    to two triggers ago; ``closed`` is where the watermark ends."""
+    return f"""
+newest AS (SELECT slice, max(event_time) AS newest FROM arrived GROUP BY slice),
+marks AS (
+    SELECT b.slice, max(m.newest) FILTER (m.slice <= b.slice - 2) - INTERVAL {delay} AS mark
+    FROM newest b, newest m GROUP BY b.slice),
+kept AS (
+    SELECT a.* FROM arrived a JOIN marks USING (slice)
+    WHERE mark IS NULL OR window_start + INTERVAL 1 DAY > mark),
+closing AS (SELECT max(newest) - INTERVAL {delay} AS closed FROM newest)"""
 
 
 def _long_updates(updates: DataFrame) -> DataFrame:
@@ -55,19 +90,71 @@ DAY_ROW = f"""SELECT region, window_start, window_end, n_samples, anomalies,
        {sql6("avg_voltage")} AS avg_voltage FROM days"""
 
 
-@query(f"{DAYS} {DAY_ROW} WHERE window_end <= (SELECT closed FROM cut)")
+ARRIVED = f"""{views("readings")},
+arrived AS (
+    SELECT *, time_bucket(INTERVAL 1 DAY, event_time) AS window_start
+    FROM ({sql_slices("readings", late=LATE)})),{sql_watermarks("1 HOUR")},
+rolled AS (
+    SELECT region, window_start, window_start + INTERVAL 1 DAY AS window_end,
+           count(*) AS n_samples, CAST(sum(label) AS BIGINT) AS anomalies,
+           round(avg(voltage), 9) AS avg_voltage, count(DISTINCT slice) AS emissions
+    FROM kept GROUP BY ALL)
+"""
+
+
+@query(f"""{ARRIVED}
+SELECT * EXCLUDE (emissions) FROM rolled WHERE window_end <= (SELECT closed FROM closing)""")
 def stream_rollup_append(spark: SparkSession, folder: str) -> DataFrame:
-    """Regional days, each written once, when the watermark has closed it."""
-    rows = rollup.readings_rollup(_readings(spark, folder), DAY, DELAY)
+    """Regional days, each written once, when the watermark has closed it; rows that come
+    later than that are dropped."""
+    rows = rollup.readings_rollup(_readings(spark, folder, F.expr(LATE)), DAY, DELAY)
     result = run_to_table(rows, run_folder(spark, "append"))
-    return _plain(result).withColumn("avg_voltage", r6("avg_voltage"))
+    return _plain(result).withColumn("avg_voltage", F.round("avg_voltage", 9))
 
 
-@query(f"{DAYS} {DAY_ROW}")
+@query(f"""{ARRIVED}
+SELECT * FROM rolled""")
 def stream_rollup_update_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """Regional days written whenever they change; the newest row of each counts."""
-    rows = rollup.readings_rollup(_readings(spark, folder), DAY, DELAY)
-    result = run_upserts(rows, run_folder(spark, "update"), ["region", "window_start"])
+    """Regional days written whenever they change (``emissions`` times); the newest counts."""
+    rows = rollup.readings_rollup(_readings(spark, folder, F.expr(LATE)), DAY, DELAY)
+    run, keys = run_folder(spark, "update"), ["region", "window_start"]
+    result = run_upserts(rows, run, keys)
+    written = spark.read.schema(result.schema).parquet(f"{run}/data").groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("emissions"))
+    return _plain(result.join(written, keys)).withColumn(
+        "avg_voltage", F.round("avg_voltage", 9))
+
+
+@query(f"""{ARRIVED}
+SELECT CAST((SELECT count(*) FROM arrived) AS BIGINT) AS arrived,
+       CAST((SELECT count(*) FROM kept) AS BIGINT) AS kept,
+       CAST(sum(emissions) AS BIGINT) AS emissions, max(emissions) AS most FROM rolled""")
+def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """How many readings came, how many were in time, and how often windows were written."""
+    rows = rollup.readings_rollup(_readings(spark, folder, F.expr(LATE)), DAY, DELAY)
+    run = run_folder(spark, "late")
+    kept = run_upserts(rows, run, ["region", "window_start"]).agg(F.sum("n_samples").alias("kept"))
+    written = spark.read.schema(rows.schema).parquet(f"{run}/data").groupBy(
+        "region", "window_start").count().agg(
+        F.sum("count").alias("emissions"), F.max("count").alias("most"))
+    came = tables.readings(spark, folder).agg(F.count(F.lit(1)).alias("arrived"))
+    one = F.lit(1).alias("_one")
+    return came.select(one, "*").join(kept.select(one, "*"), "_one").join(
+        written.select(one, "*"), "_one").drop("_one")
+
+
+@query(f"""{DAYS} {DAY_ROW}""")
+def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
+    """The same without late rows, stopped between a batch's output and its commit, twice.
+
+    The run starts again from its checkpoint each time and repeats the batch.
+    """
+    stream, run = _readings(spark, folder), run_folder(spark, "restart")
+    rows = rollup.readings_rollup(stream, DAY, DELAY)
+    for stop in (1, 3):
+        with suppress(StreamingQueryException):
+            run_upserts(rows, run, ["region", "window_start"], stop_after=stop)
+    result = run_upserts(rows, run, ["region", "window_start"])
     return _plain(result).withColumn("avg_voltage", r6("avg_voltage"))
 
 
@@ -76,19 +163,24 @@ windows AS (
     SELECT region, time_bucket(INTERVAL 30 SECOND, event_time) AS window_start,
            time_bucket(INTERVAL 30 SECOND, event_time) + INTERVAL 30 SECOND AS window_end,
            string_agg(edge_id, ',' ORDER BY edge_id) AS contributing_edges,
+           list_sum(list(list_sum(weights) ORDER BY edge_id)) AS w,
            CAST(sum(n_samples) AS BIGINT) AS total_n_samples, avg(accuracy) AS accuracy,
-           CAST(sum(anomalies) AS BIGINT) AS total_anomalies
+           CAST(sum(anomalies) AS BIGINT) AS total_anomalies, count(*) AS num_updates
     FROM updates GROUP BY ALL)
-SELECT * EXCLUDE (accuracy), {sql6("accuracy")} AS avg_accuracy FROM windows
-WHERE window_end <= (SELECT max(event_time) - INTERVAL 10 SECOND FROM updates)""")
+SELECT * EXCLUDE (accuracy, w), {sql6("accuracy")} AS avg_accuracy, {sql6("w")} AS sum_of_weights
+FROM windows""")
 def stream_regional_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    """The roll-up of updates with its lists, by 30-second window."""
-    rows = rollup.regional_rollup(_updates(spark, folder), S.WINDOW, S.WATERMARK)
-    result = run_to_table(rows, run_folder(spark, "regional"))
-    return _plain(result.select(
-        "region", "window_start", "window_end",
-        F.array_join("contributing_edges", ",").alias("contributing_edges"),
-        "total_n_samples", r6("avg_accuracy").alias("avg_accuracy"), "total_anomalies"))
+    """Totals and members of the roll-up of updates, from one pass, by 30-second window."""
+    totals, members = rolled_up(_updates(spark, folder), run_folder(spark, "regional"))
+    keys = ["region", "window_start"]
+    whole = F.aggregate("weights", F.lit(0.0), lambda s, x: s + x)
+    listed = members.groupBy(*keys).agg(
+        F.array_join(F.array_sort(F.collect_list("edge_id")), ",").alias("contributing_edges"),
+        r6(F.sum(whole)).alias("sum_of_weights"))
+    return _plain(totals.join(listed, keys).select(
+        *keys, "window_end", "contributing_edges", "total_n_samples",
+        r6("avg_accuracy").alias("avg_accuracy"), "total_anomalies", "num_updates",
+        "sum_of_weights"))
 
 
 @query(LATEST_SCORES)
@@ -138,16 +230,17 @@ def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(raised).withColumn("anomaly_rate", r6("anomaly_rate"))
 
 
-@query(f"""{views("cells")}
-SELECT model_id, 1 AS round, CAST(sum(n_samples) AS BIGINT) AS total_samples,
+@query(f"""{views("cells")},
+arrived AS ({sql_slices("cells")}),
+numbered AS (
+    SELECT * EXCLUDE (round), dense_rank() OVER (PARTITION BY model_id ORDER BY slice) AS number
+    FROM arrived)
+SELECT model_id, CAST(number AS INTEGER) AS round, CAST(sum(n_samples) AS BIGINT) AS total_samples,
        count(*) AS updates, CAST(pos AS INTEGER) AS pos,
        {sql6("sum(n_samples * w) / sum(n_samples)")} AS value
-FROM cells GROUP BY model_id, pos""")
+FROM numbered GROUP BY model_id, number, pos""")
 def stream_rounds(spark: SparkSession, folder: str) -> DataFrame:
-    """A round for each non-empty trigger, from the newest update of each node.
-
-    The table is there at the start, so it comes in one trigger and makes one round.
-    """
+    """A round for each non-empty trigger, from the newest update of each node."""
     models = rounds_by_trigger(_updates(spark, folder), run_folder(spark, "rounds"))
     return long_model(models, "model_id", "round")
 
@@ -188,10 +281,42 @@ def stream_feedback(spark: SparkSession, folder: str) -> DataFrame:
     return _long_updates(run_to_table(rows, run_folder(spark, "feedback")))
 
 
-@query(BY_PLANT + sql_long("step", "model_id, node_id, n_samples"))
+def _plant_fold() -> str:
+    """Training slice by slice: steps from the plant's newest model, then its average."""
+    dots = " + ".join(f"w{j} * x{j}" for j in range(5)) + " + b"
+    p = f"1e0 / (1e0 + exp(-greatest(-500e0, least(500e0, {dots}))))"
+    moved = ", ".join(f"any_value(w{j}) - 1e-2 * avg(x{j} * e) AS w{j}" for j in range(5))
+    names = [*(f"w{j}" for j in range(5)), "b"]
+    mean = ", ".join(f"sum(total * {n}) / sum(total) AS {n}" for n in names)
+    zero = ", ".join(f"0e0 AS {n}" for n in names)
+    text = f"""{views("machine")},
+rows AS (
+    SELECT model_id, node_id, slice, label::DOUBLE AS y, vibration_x - 0.5e0 AS x0,
+           vibration_y - 0.5e0 AS x1, vibration_z - 0.5e0 AS x2, (temperature - 65e0) / 20e0 AS x3,
+           (pressure - 100e0) / 30e0 AS x4
+    FROM ({sql_slices("machine")})),
+global_0 AS (SELECT DISTINCT model_id, {zero} FROM rows)"""
+    for c in range(SLICES):
+        text += f""",
+node{c} AS (
+    SELECT model_id, node_id, {c} AS batch, {moved}, any_value(b) - 1e-2 * avg(e) AS b,
+           (SELECT count(*) FROM rows r WHERE r.model_id = t.model_id
+                AND r.node_id = t.node_id AND slice <= {c}) AS total
+    FROM (SELECT *, {p} - y AS e FROM rows JOIN global_{c} USING (model_id) WHERE slice = {c}) t
+    GROUP BY model_id, node_id),
+global_{c + 1} AS (SELECT model_id, {mean} FROM node{c} GROUP BY model_id)"""
+    every = " UNION ALL ".join(f"SELECT * FROM node{c}" for c in range(SLICES))
+    return text + f""",
+steps AS (SELECT batch::BIGINT AS batch, total AS n_samples, * EXCLUDE (batch, total)
+          FROM ({every}))
+""" + sql_long("steps", "model_id, node_id, batch, n_samples")
+
+
+@query(_plant_fold())
 def stream_batch_training(spark: SparkSession, folder: str) -> DataFrame:
-    """A step of each machine node per micro-batch (the table comes as one batch)."""
-    stream = tables.as_machine(table_stream(spark, folder, "lineitem"))
+    """A step of each machine node per micro-batch, then a round, slice by slice."""
+    stream = replayed(tables.machine(spark, folder), run_folder(spark, "machine"), "event_time")
     _, nodes = train_by_batch(stream, run_folder(spark, "training"), X.shift_scale())
-    last = nodes.filter(F.col("batch") == F.col("batch_id"))
-    return long_model(last, "model_id", "node_id", "n_samples", parts=("bias",), extra=())
+    trained = nodes.filter(F.col("batch") == F.col("batch_id"))
+    return long_model(trained, "model_id", "node_id", "batch", "n_samples", parts=("bias",),
+                      extra=())

@@ -38,7 +38,7 @@ GLOBAL_METRICS = (
 
 NODE_UPDATE = (
     "node_id int, timestamp string, "
-    "model_weights struct<weights: array<double>, bias: double, num_samples: int>, loss double"
+    "model_weights struct<weights: array<double>, bias: double, num_samples: bigint>, loss double"
 )
 
 GLOBAL_MODEL_MACHINE = (

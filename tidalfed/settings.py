@@ -71,8 +71,10 @@ TOPICS = {
 MACHINE_TOPICS = {1: "sensor-data-node-1", 2: "sensor-data-node-2"}
 MACHINE_WEIGHTS_TOPIC = "model-weights"
 MACHINE_MODEL_TOPIC = "global-model"
+MACHINE_MODEL_KEY = "global_model"
 
 # Scale bounds: what one task, one list or one broadcast may hold.
 GROUP_ROWS = 4_000_000
 LIST_ROWS = 10_000
+SNAPSHOT_EVERY = 16
 BROADCAST_BYTES = 64 * 1024 * 1024

@@ -21,6 +21,7 @@ from tidalfed.operators.rounds import participants, round_log
 from tidalfed.session import settled
 from tidalfed.sources.roundlog import append_rounds
 from tidalfed.streaming.run import BatchTable
+from tidalfed.streaming.state import ChangeTable
 
 MODEL = ("round int, model_id string, weights array<double>, bias double, "
          "weighted_loss double, total_samples bigint, updates bigint")
@@ -47,15 +48,15 @@ class TriggerRounds:
 
     Used as a ``foreachBatch`` function. The newest update of each node counts. While a
     model has fewer than ``min_nodes`` nodes its updates wait in the pending table; they
-    leave it when their round is published. Every batch writes its own folders and reads
-    those of the batch before only, so a repeated batch replaces its own output and the
-    cost of a batch does not grow with the age of the stream. Rows stay on the executors.
+    leave it when their round is published. A batch writes the updates and counters it changed
+    (see :class:`ChangeTable`), and a repeated batch replaces its own output. Rows stay on the
+    executors.
     """
 
     def __init__(self, folder: str, min_nodes: int = S.NODES_PER_ROUND) -> None:
         self.models = BatchTable(f"{folder}/models", MODEL)
-        self.counts = BatchTable(f"{folder}/counts", "model_id string, round int")
-        self.pending = BatchTable(f"{folder}/pending", PENDING)
+        self.counts = ChangeTable(f"{folder}/counts", "model_id string, round int", ["model_id"])
+        self.pending = ChangeTable(f"{folder}/pending", PENDING, ["model_id", "node_id"])
         self.log = f"{folder}/log"
         self.min_nodes = min_nodes
 
@@ -64,9 +65,6 @@ class TriggerRounds:
         waiting = self.pending.before(spark, batch_id)
         counts = self.counts.before(spark, batch_id)
         if batch.isEmpty():
-            self.pending.write(waiting, batch_id)
-            self.counts.write(counts, batch_id)
-            self.models.write(spark.createDataFrame([], MODEL), batch_id)
             return
         arrived = batch.select(*waiting.columns).unionByName(waiting)
         seen = settled(latest(arrived, ["model_id", "node_id"], ["event_time"]))
@@ -77,8 +75,12 @@ class TriggerRounds:
             "round", F.coalesce("round", F.lit(0)) + 1)
         published = self.models.write(models, batch_id)
         done = published.select("model_id", "round")
-        self.pending.write(seen.join(done, "model_id", "left_anti"), batch_id)
-        self.counts.write(counts.join(done, "model_id", "left_anti").unionByName(done), batch_id)
+        came = batch.select("model_id", "node_id").distinct()
+        self.pending.change(
+            seen.join(came, ["model_id", "node_id"], "left_semi").join(
+                done, "model_id", "left_anti"), batch_id,
+            gone=waiting.join(done, "model_id", "left_semi"))
+        self.counts.change(done, batch_id)
         members = participants(seen.select("model_id", F.col("node_id").cast("string")),
                                ["model_id"], "node_id")
         entries = published.join(members, "model_id").select(

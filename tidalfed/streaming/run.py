@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -21,21 +22,30 @@ def run_to_table(stream: DataFrame, folder: str, mode: str = "append") -> DataFr
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/data")
 
 
-def run_upserts(stream: DataFrame, folder: str, keys: Sequence[str]) -> DataFrame:
+def run_upserts(stream: DataFrame, folder: str, keys: Sequence[str],
+                stop_after: int | None = None) -> DataFrame:
     """Run in update mode and keep the newest row of each key.
 
     Update mode emits a window again whenever it changes. Each batch goes to its own
     folder, and reading takes each key's row of the highest batch, so that nothing is
-    counted twice and a repeated batch replaces itself.
+    counted twice and a repeated batch replaces itself. With ``stop_after`` the run breaks
+    off when that batch has been written but not committed, as a lost driver would.
     """
     spark, data = stream.sparkSession, f"{folder}/data"
     # So that there is a table to read even when no batch brings a row.
     table_sink(data)(spark.createDataFrame([], stream.schema), -1)
-    publish_to_all(stream, f"{folder}/checkpoint", [table_sink(data)],
-                   mode="update").awaitTermination()
+    sinks = [table_sink(data)]
+    if stop_after is not None:
+        sinks.append(partial(_stop, stop_after))
+    publish_to_all(stream, f"{folder}/checkpoint", sinks, mode="update").awaitTermination()
     return newest_rows(spark, data, stream.schema, keys)
 
 
+def _stop(after: int, batch: DataFrame, batch_id: int) -> None:
+    if batch_id == after:
+        raise RuntimeError(f"stopped before batch {batch_id} was committed")
+
+
 def newest_rows(spark: SparkSession, path: str, schema: T.StructType,
                 keys: Sequence[str]) -> DataFrame:
     """The current row of each key of a table written batch by batch."""

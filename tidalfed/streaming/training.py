@@ -18,7 +18,7 @@ from tidalfed.operators.sizing import sized_broadcast
 from tidalfed.operators.training import evaluate, sgd_step
 from tidalfed.session import settled
 from tidalfed.streaming.rounds import MODEL
-from tidalfed.streaming.run import BatchTable
+from tidalfed.streaming.state import ChangeTable
 
 NODE = ("model_id string, node_id int, weights array<double>, bias double, n_samples bigint, "
         "loss double, accuracy double, batch bigint, adopted int, waiting boolean")
@@ -31,14 +31,14 @@ class BatchTraining:
     node adopts each global model once (``adopted`` is its round) and goes on from its own
     until a newer one comes. Its newest update is ``waiting`` until a round takes it, which
     needs ``min_nodes`` of them, from whatever batches. ``n_samples`` counts a node's
-    rows since its start and is not reset by a global model. A batch reads the tables of
-    the batch before only; they hold the newest row of every node and model.
+    rows since its start and is not reset by a global model. A batch writes only the nodes
+    and models it changed.
     """
 
     def __init__(self, folder: str, features: Sequence[Column], rate: float = S.LEARNING_RATE,
                  min_nodes: int = S.NODES_PER_ROUND) -> None:
-        self.models = BatchTable(f"{folder}/models", MODEL)
-        self.nodes = BatchTable(f"{folder}/nodes", NODE)
+        self.models = ChangeTable(f"{folder}/models", MODEL, ["model_id"])
+        self.nodes = ChangeTable(f"{folder}/nodes", NODE, ["model_id", "node_id"])
         self.features = list(features)
         self.rate = rate
         self.min_nodes = min_nodes
@@ -48,8 +48,6 @@ class BatchTraining:
         known = self.nodes.before(spark, batch_id)
         newest = self.models.before(spark, batch_id)
         if batch.isEmpty():
-            self.nodes.write(known, batch_id)
-            self.models.write(newest, batch_id)
             return
         batch.persist()  # read by the start models, the step and the evaluation
         try:
@@ -69,19 +67,20 @@ class BatchTraining:
                           .withColumn("n_samples", F.col("n_samples") + F.col("_before"))
                           .withColumn("batch", F.lit(batch_id))
                           .withColumn("waiting", F.lit(True)).drop("_before"))
-        idle = known.join(trained.select(*keys), keys, "left_anti")
-        nodes = settled(trained.unionByName(idle))
+        idle = known.join(trained.select(*keys), keys, "left_anti").filter("waiting")
+        waiting = settled(trained.unionByName(idle))
 
         done = newest.select("model_id", "round")
-        models = settled(fedavg_vector(nodes.filter("waiting"), ["model_id"])
+        models = settled(fedavg_vector(waiting, ["model_id"])
                          .filter(F.col("updates") >= self.min_nodes)
                          .join(done, "model_id", "left")
                          .withColumn("round", F.coalesce("round", F.lit(0)) + 1))
         closed = models.select("model_id", F.lit(True).alias("_closed"))
-        self.nodes.write(nodes.join(closed, "model_id", "left").withColumn(
-            "waiting", F.col("waiting") & F.col("_closed").isNull()), batch_id)
-        kept = newest.join(models.select("model_id"), "model_id", "left_anti")
-        self.models.write(models.unionByName(kept), batch_id)
+        # Changed are the nodes of this batch and those whose update a round has taken.
+        left = waiting.join(closed, "model_id", "left").withColumn(
+            "waiting", F.col("_closed").isNull())
+        self.nodes.change(left.filter((F.col("batch") == batch_id) | ~F.col("waiting")), batch_id)
+        self.models.change(models, batch_id)
 
     def _start(self, batch: DataFrame, known: DataFrame, newest: DataFrame) -> DataFrame:
         """The model each node of the batch starts from.
@@ -120,7 +119,7 @@ def train_by_batch(readings: DataFrame, folder: str, features: Sequence[Column],
     job = BatchTraining(folder, features, rate, min_nodes)
     start_training(readings, job, folder, {"availableNow": True}).awaitTermination()
     spark = readings.sparkSession
-    return job.models.read(spark), job.nodes.read(spark)
+    return job.models.changes(spark), job.nodes.changes(spark)
 
 
 UPDATE = f"edge_id string, lane int, {REPORT}"
