@@ -110,15 +110,19 @@ FROM readings r ASOF LEFT JOIN models m
     ON r.edge_id = m.edge_id AND r.event_time >= m.published_at"""
 
 
+def _asof_scores(joined: DataFrame) -> DataFrame:
+    v, i, _ = X.zscore("voltage", "current")
+    score = v * F.col("weights")[0] + i * F.col("weights")[1] + F.col("bias")
+    return joined.select("event_id", "edge_id", "model_node", r6(score).alias("score"))
+
+
 def _asof(spark: SparkSession, folder: str, cut: bool) -> DataFrame:
     readings = tables.readings(spark, folder).drop("model_id")
     group_rows = cutting_bound(readings) if cut else S.GROUP_ROWS
     joined = J.with_model_in_force(readings, published_models(tables.updates(spark, folder)),
                                    model=("model_node", "weights", "bias"),
                                    group_rows=group_rows)
-    v, i, _ = X.zscore("voltage", "current")
-    score = v * F.col("weights")[0] + i * F.col("weights")[1] + F.col("bias")
-    return joined.select("event_id", "edge_id", "model_node", r6(score).alias("score"))
+    return _asof_scores(joined)
 
 
 @query(ASOF)

@@ -13,7 +13,7 @@ from tidalfed.functions import features as X
 from tidalfed.operators import rollup
 from tidalfed.operators.fedavg import fedavg_vector
 from tidalfed.plans.joins import (
-    LATEST_SCORES, newest_global_models, scored_readings)
+    ASOF, LATEST_SCORES, _asof_scores, newest_global_models, published_models, scored_readings)
 from tidalfed.plans.aggregates import ALERTS
 from tidalfed.operators.monitor import anomaly_alerts
 from tidalfed.plans.registry import long_model, plain_time, query, r6, sql6, views
@@ -22,6 +22,7 @@ from tidalfed.session import run_folder
 from tidalfed.sources import tables
 from tidalfed.sources.replay import SLICES, replayed
 from tidalfed.sources.topics import table_stream
+from tidalfed.streaming.asof import ModelsInForce, in_force
 from tidalfed.streaming.rollup import rolled_up
 from tidalfed.streaming.rounds import rounds_by_participants, rounds_by_trigger, rounds_by_window
 from tidalfed.streaming.run import run_to_table, run_upserts
@@ -191,6 +192,19 @@ def stream_stateless_scoring(spark: SparkSession, folder: str) -> DataFrame:
                         run_folder(spark, "scores"))
 
 
+@query(ASOF)
+def stream_asof_model(spark: SparkSession, folder: str) -> DataFrame:
+    """The model in force at each reading, from readings and models that come out of order."""
+    run = run_folder(spark, "inforce")
+    models = published_models(tables.updates(spark, folder))
+    first, last = models.agg(F.min(F.unix_seconds("published_at")),
+                             F.max(F.unix_seconds("published_at"))).first()
+    late = replayed(models, f"{run}/sent", "published_at", late=F.col("model_node") % 7 == 3, by=1)
+    job = ModelsInForce(run, 2.0 * (last - first) / SLICES, ["model_node", "weights", "bias"])
+    readings = _readings(spark, folder, F.expr(LATE)).drop("model_id")
+    return _asof_scores(in_force(readings, late, job))
+
+
 @query(f"""{DAYS}
 SELECT time_bucket(INTERVAL 2 DAY, window_start, TIMESTAMP '1970-01-01') AS window_start,
        time_bucket(INTERVAL 2 DAY, window_start, TIMESTAMP '1970-01-01') + INTERVAL 2 DAY
