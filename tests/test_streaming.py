@@ -3,9 +3,9 @@
 import datetime as dt
 import json
 import os
-import time
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,7 +23,8 @@ from tidalfed.streaming.rounds import (
 from tidalfed.streaming.run import run_to_table, run_upserts
 from tidalfed.streaming.scoring import start_scoring
 from tidalfed.streaming.state import ChangeTable
-from tidalfed.streaming.training import train_by_batch, train_by_entity
+from tidalfed.streaming.training import (
+    EntityTraining, entity_lines, start_entities, train_by_batch, train_by_entity)
 
 DAY = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -250,7 +251,7 @@ def test_keyed_training_over_batches_equals_the_table_form(spark, small, tmp_pat
     readings = tables.readings(spark, small)
     features = X.zscore("voltage", "current")
     stream = slices(spark, readings, str(tmp_path / "readings"), 5, "event_time")
-    streamed = run_to_table(train_by_entity(stream, features), str(tmp_path / "run"))
+    streamed = train_by_entity(stream, str(tmp_path / "run"), features)
     batch = train_sequential(readings, features=features)
     got = {(r.edge_id, r["round"]): r for r in streamed.collect()}
     want = {(r.edge_id, r["round"]): r for r in batch.collect()}
@@ -268,9 +269,8 @@ def test_keyed_training_does_not_depend_on_file_or_arrow_order(spark, small, tmp
         F.xxhash64("event_id")).write.parquet(source)
     spark.conf.set(key, "37")
     try:
-        streamed = run_to_table(train_by_entity(
-            spark.readStream.schema(readings.schema).parquet(source), features),
-            str(tmp_path / "run")).collect()
+        streamed = train_by_entity(spark.readStream.schema(readings.schema).parquet(source),
+                                   str(tmp_path / "run"), features).collect()
     finally:
         spark.conf.set(key, "10000")
     want = {(r.edge_id, r["round"]): r
@@ -336,8 +336,8 @@ def test_scoring_follows_the_model_table(spark, tmp_path):
 def test_lanes_take_every_reading(spark, small, tmp_path):
     readings = tables.readings(spark, small)
     stream = slices(spark, readings, str(tmp_path / "readings"), 2, "event_time")
-    rows = run_to_table(train_by_entity(stream, X.zscore("voltage", "current"), lanes=3,
-                                        every=20), str(tmp_path / "run"))
+    rows = train_by_entity(stream, str(tmp_path / "run"), X.zscore("voltage", "current"),
+                           lanes=3, every=20)
     last = rows.groupBy("edge_id", "lane").agg(F.max("total_samples").alias("n"))
     lane = F.pmod(F.xxhash64("event_id"), F.lit(3)).cast("int").alias("lane")
     want = readings.groupBy("edge_id", lane).count()
@@ -359,10 +359,10 @@ def test_entities_continue_from_the_global_model(spark, tmp_path):
     add_file(spark, readings, str(tmp_path / "readings"), 0)
     add_file(spark, model, str(tmp_path / "models"), 0)
     known = spark.createDataFrame([("m", "a")], "model_id string, edge_id string")
-    rows = run_to_table(train_by_entity(
-        replay(spark, str(tmp_path / "readings"), readings.schema), [F.col("x")],
-        models=replay(spark, str(tmp_path / "models"), model.schema), entities=known, every=20),
-        str(tmp_path / "run")).orderBy("round").collect()
+    rows = train_by_entity(
+        replay(spark, str(tmp_path / "readings"), readings.schema), str(tmp_path / "run"),
+        [F.col("x")], models=replay(spark, str(tmp_path / "models"), model.schema),
+        entities=known, every=20).orderBy("round").collect()
     data = [(r.x, r.label) for r in readings.orderBy("event_id").collect()]
     w, b = np.array([5.0]), -1.0
     for x, y in data[20:]:
@@ -373,28 +373,54 @@ def test_entities_continue_from_the_global_model(spark, tmp_path):
     assert rows[1].total_samples == 40
 
 
-def test_timer_publishes_trained_models(spark, tmp_path):
+def test_ticks_publish_without_readings(spark, tmp_path):
+    """Reports come by the clock, at most one per interval, and count what was trained."""
     readings = spark.range(60).select(
         F.lit("a").alias("edge_id"), F.col("id").alias("event_id"),
         F.timestamp_seconds("id").alias("event_time"),
         (F.col("id") % 3 - 1.0).alias("x"), (F.col("id") % 2).cast("int").alias("label"))
     add_file(spark, readings, str(tmp_path / "readings"), 0)
+    add_file(spark, spark.createDataFrame([(DAY,)], "event_time timestamp"),
+             str(tmp_path / "ticks"), 0)
     stream = replay(spark, str(tmp_path / "readings"), readings.schema)
-    updates = train_by_entity(stream, [F.col("x")], every=20, publish_ms=500)
+    ticks = replay(spark, str(tmp_path / "ticks"), "event_time timestamp")
+    job = EntityTraining(str(tmp_path / "run"), 1, every=20, publish_seconds=10)
+    lines = entity_lines(stream, [F.col("x")])
+    start_entities(lines, job, ticks, {"availableNow": True}).awaitTermination()
+    for second in (5, 12, 30):
+        add_file(spark, spark.createDataFrame([(DAY + dt.timedelta(seconds=second),)],
+                                              "event_time timestamp"),
+                 str(tmp_path / "ticks"), second)
+    start_entities(lines, job, ticks, {"availableNow": True}).awaitTermination()
+    updates = spark.read.parquet(str(tmp_path / "run" / "updates"))
+    reports = spark.read.parquet(str(tmp_path / "run" / "reports")).orderBy("at").collect()
+    assert updates.count() == 3
+    assert [(r.at - DAY.replace(tzinfo=None)).seconds for r in reports] == [0, 12, 30]
+    assert all((r.n_samples, r["round"], r.accuracy) == (60, 3, None) for r in reports)
+
+
+def test_hot_entity_is_gone_through_batch_by_batch(spark, tmp_path):
+    """One entity holding all rows: no frame is larger than an Arrow batch."""
+    readings = spark.range(5000).select(
+        F.lit("a").alias("edge_id"), F.col("id").alias("event_id"),
+        F.timestamp_seconds("id").alias("event_time"),
+        (F.col("id") % 7 - 3.0).alias("x"), (F.col("id") % 2).cast("int").alias("label"))
+    job = EntityTraining(str(tmp_path / "run"), 1)
     seen = []
-    query = (updates.writeStream.trigger(processingTime="1 second")
-             .option("checkpointLocation", str(tmp_path / "checkpoint"))
-             .foreachBatch(lambda batch, n: seen.extend(batch.collect())).start())
-    try:
-        for _ in range(60):
-            if any(r.accuracy is None for r in seen):
-                break
-            time.sleep(1)
-    finally:
-        query.stop()
-    assert len([r for r in seen if r.accuracy is not None]) == 3
-    timed = [r for r in seen if r.accuracy is None]
-    assert timed and all((r.n_samples, r["round"]) == (60, 3) for r in timed)
+
+    class Counting(EntityTraining):
+        def _learn(self, frames):
+            for frame in super()._learn(f for f in frames if not seen.append(len(f))):
+                yield frame
+
+    lines = entity_lines(readings, [F.col("x")]).toPandas()
+    lines = lines.assign(round=None, initialized=None, y=None)
+    counting = Counting(str(tmp_path / "run"), 1)
+    parts = [lines.iloc[i:i + 100] for i in range(0, len(lines), 100)]
+    out = pd.concat(list(counting._learn(iter(parts))))
+    assert max(seen) == 100 and (out.n_samples.notna()).sum() == 100
+    whole = pd.concat(list(job._learn(iter([lines]))))
+    assert out.iloc[-1].weights == pytest.approx(whole.iloc[-1].weights)
 
 
 def test_batch_training_carries_models_and_counts(spark, small, tmp_path):

@@ -1,4 +1,4 @@
-"""Streaming queries. They stream the given tables as they stand; results are tables."""
+"""Streaming queries: the given tables replayed slice by slice; results are tables."""
 
 from __future__ import annotations
 
@@ -12,12 +12,13 @@ from tidalfed import settings as S
 from tidalfed.functions import features as X
 from tidalfed.operators import rollup
 from tidalfed.operators.fedavg import fedavg_vector
+from tidalfed.operators.joins import latest
 from tidalfed.plans.joins import (
     ASOF, LATEST_SCORES, _asof_scores, newest_global_models, published_models, scored_readings)
 from tidalfed.plans.aggregates import ALERTS
 from tidalfed.operators.monitor import anomaly_alerts
 from tidalfed.plans.registry import long_model, plain_time, query, r6, sql6, views
-from tidalfed.plans.training import ALL_UPDATES, sql_long
+from tidalfed.plans.training import ALL_UPDATES, ROW_STEP, SEQUENCE, sql_long
 from tidalfed.session import run_folder
 from tidalfed.sources import tables
 from tidalfed.sources.replay import SLICES, replayed
@@ -26,7 +27,8 @@ from tidalfed.streaming.asof import ModelsInForce, in_force
 from tidalfed.streaming.rollup import rolled_up
 from tidalfed.streaming.rounds import rounds_by_participants, rounds_by_trigger, rounds_by_window
 from tidalfed.streaming.run import run_to_table, run_upserts
-from tidalfed.streaming.training import train_by_batch, train_by_entity
+from tidalfed.streaming.training import (
+    EntityTraining, entity_lines, publish_until, train_by_batch, train_by_entity)
 
 DAY, DELAY = "1 day", "1 hour"
 
@@ -278,21 +280,93 @@ def stream_round_timeout(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(ALL_UPDATES)
 def stream_edge_training(spark: SparkSession, folder: str) -> DataFrame:
-    """An update for every fifty readings of each entity, from keyed state."""
-    rows = train_by_entity(_readings(spark, folder), X.zscore("voltage", "current"))
-    return _long_updates(run_to_table(rows, run_folder(spark, "edges")))
-
-
-@query()
+    """An update for every fifty readings of each entity, carried from trigger to trigger."""
+    return _long_updates(train_by_entity(_readings(spark, folder), run_folder(spark, "edges"),
+                                         X.zscore("voltage", "current")))
+
+
+# Readings and models in the order they come: by slice, then time, models first. A model that
+# comes between two trainings of an entity replaces its weights before the second of them; in
+# the fold it is a row of five, the rows of a training have four.
+FEEDBACK = f"""{views("readings", "updates")},
+came AS ({sql_slices("readings")}),
+models AS (
+    SELECT model_id, node_id, event_time, weights[1:3] AS weights, bias FROM (
+        SELECT * REPLACE (TIMESTAMP '2024-01-01' + to_seconds(node_id * 3600) AS event_time)
+        FROM updates)),
+sent AS ({sql_slices("models")}),
+numbered AS (
+    SELECT *, (voltage - 230e0) / 5e0 AS x0, (current - 10e0) / 2e0 AS x1,
+           (voltage * current - 2300e0) / 10e0 AS x2,
+           row_number() OVER (PARTITION BY edge_id ORDER BY slice, event_time, event_id) AS position
+    FROM came),
+trainings AS (
+    SELECT model_id, edge_id, position // 50 AS batch, (slice, event_time) AS at
+    FROM numbered WHERE position % 50 = 0),
+adopted AS (
+    SELECT t.edge_id, t.batch, arg_max([w[1], w[2], w[3], m.bias, 1e0],
+                                       (m.slice, m.event_time, m.node_id)) AS row
+    FROM trainings t JOIN trainings b ON b.edge_id = t.edge_id AND b.batch = t.batch - 1
+         JOIN (SELECT *, weights AS w FROM sent) m ON m.model_id = t.model_id
+              AND (m.slice, m.event_time) <= t.at AND (m.slice, m.event_time) > b.at
+    GROUP BY t.edge_id, t.batch),
+lines AS (
+    SELECT edge_id, (position + 49) // 50 AS batch, position, [x0, x1, x2, label::DOUBLE] AS row
+    FROM numbered
+    UNION ALL SELECT edge_id, batch, 0, row FROM adopted),
+batches AS (SELECT edge_id, batch, batch * 50 AS n FROM trainings),
+prefixes AS (
+    SELECT b.edge_id, b.batch, b.n, list(l.row ORDER BY l.batch, l.position) AS rows,
+           CAST(sum(CASE WHEN len(l.row) = 4 THEN l.row[4] END) AS BIGINT) AS anomalies
+    FROM batches b JOIN lines l ON l.edge_id = b.edge_id AND l.batch <= b.batch GROUP BY ALL),
+folded AS (
+    SELECT *, list_reduce(rows, lambda acc, r: CASE WHEN len(r) = 5 THEN r[1:4]
+                                               ELSE {ROW_STEP} END, [0e0, 0e0, 0e0, 0e0]) AS m
+    FROM prefixes)
+SELECT edge_id, 0 AS lane, CAST(batch - 1 AS INTEGER) AS round, CAST(50 AS BIGINT) AS n_samples,
+       CAST(n AS BIGINT) AS total_samples, anomalies AS anomalies_detected,
+       CAST(pos - 1 AS INTEGER) AS pos, {sql6("m[pos]")} AS value
+FROM folded, range(1, 5) AS r(pos)"""
+
+
+@query(FEEDBACK)
 def stream_feedback(spark: SparkSession, folder: str) -> DataFrame:
     """Entities train on their readings and adopt global models as these come in."""
     known = tables.readings(spark, folder).select("model_id", "edge_id").distinct()
-    models = tables.as_updates(table_stream(spark, folder, "embeddings")).select(
+    models = tables.updates(spark, folder).select(
         "model_id", F.expr("timestamp_seconds(1704067200 + node_id * 3600)").alias("event_time"),
         F.slice("weights", 1, 3).alias("weights"), "bias")
-    rows = train_by_entity(_readings(spark, folder), X.zscore("voltage", "current"),
-                           models=models, entities=known)
-    return _long_updates(run_to_table(rows, run_folder(spark, "feedback")))
+    sent = replayed(models, run_folder(spark, "sent"), "event_time")
+    return _long_updates(train_by_entity(
+        _readings(spark, folder), run_folder(spark, "feedback"), X.zscore("voltage", "current"),
+        models=sent, entities=known))
+
+
+@query(f"""{SEQUENCE},
+seen AS (SELECT edge_id, count(*) AS total, CAST(sum(label) AS BIGINT) AS found
+         FROM readings GROUP BY edge_id)
+SELECT edge_id, total AS total_samples, CAST(n // 50 AS INTEGER) AS round,
+       found AS anomalies_detected, CAST(pos - 1 AS INTEGER) AS pos, {sql6("m[pos]")} AS value
+FROM models JOIN seen USING (edge_id), range(1, 5) AS r(pos)""")
+def stream_periodic_publishing(spark: SparkSession, folder: str) -> DataFrame:
+    """What the ticks of a clock publish of each entity once all its readings have come.
+
+    Ticks go on without readings; the run ends when the last reports count every reading.
+    """
+    run, features = run_folder(spark, "periodic"), X.zscore("voltage", "current")
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 2).load().select(
+        F.col("timestamp").alias("event_time"))
+    job = EntityTraining(run, len(features), publish_seconds=1.0)
+    wanted = tables.readings(spark, folder).count()
+
+    def whole(reports: DataFrame) -> bool:
+        return reports.groupBy("edge_id").agg(F.max("total_samples").alias("n")).agg(
+            F.sum("n")).first()[0] == wanted
+
+    reports = publish_until(entity_lines(_readings(spark, folder), features), job, ticks, whole)
+    newest = latest(reports, ["edge_id"], ["at", "total_samples"])
+    return long_model(newest, "edge_id", "round", parts=("bias",),
+                      extra=("total_samples", "anomalies_detected"))
 
 
 def _plant_fold() -> str:
