@@ -224,8 +224,8 @@ def test_round_closes_by_regions_or_by_time(spark, tmp_path):
              [row("west", 210, 9.0, 30)], [row("north", 220, 2.0, 5)], [row("north", 400, 3.0, 5)]]
     for number, rows in enumerate(files):
         add_file(spark, spark.createDataFrame(rows, schema), str(tmp_path / "r"), number)
-    result = run_to_table(rounds_by_participants(replay(spark, str(tmp_path / "r"), schema)),
-                          str(tmp_path / "run"))
+    result = rounds_by_participants(replay(spark, str(tmp_path / "r"), schema),
+                                    str(tmp_path / "run"))
     got = [(r["round"], r.reason, r.weights[0], r.total_samples, r.updates, r.participants,
             r.anomalies) for r in result.orderBy("round").collect()]
     assert got == [
@@ -242,8 +242,8 @@ def test_timer_ends_a_round_without_further_messages_of_its_model(spark, tmp_pat
              [("busy", "north", DAY + dt.timedelta(seconds=300), [2.0], 0.0, 10, 1, 0)]]
     for number, rows in enumerate(files):
         add_file(spark, spark.createDataFrame(rows, schema), str(tmp_path / "r"), number)
-    result = run_to_table(rounds_by_participants(replay(spark, str(tmp_path / "r"), schema)),
-                          str(tmp_path / "run"))
+    result = rounds_by_participants(replay(spark, str(tmp_path / "r"), schema),
+                                    str(tmp_path / "run"))
     assert [(r.model_id, r.reason) for r in result.collect()] == [("quiet", "timeout")]
 
 

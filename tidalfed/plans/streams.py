@@ -261,7 +261,58 @@ def stream_rounds(spark: SparkSession, folder: str) -> DataFrame:
     return long_model(models, "model_id", "round")
 
 
-@query()
+# Rounds in order: from each message the fourth region or the last message within a minute is
+# looked for; the true rounds follow one another from the first message.
+ROUND_FOLD = f"""{views("cells")},
+regional AS (
+    SELECT model_id, region, pos, time_bucket(INTERVAL 30 SECOND, event_time)
+               + INTERVAL 30 SECOND AS event_time,
+           sum(n_samples * w) / sum(n_samples) AS w, sum(n_samples) AS n, count(*) AS updates,
+           sum(anomalies) AS anomalies
+    FROM cells WHERE pos < 65 GROUP BY ALL),
+marked AS (SELECT max(event_time) - INTERVAL 10 SECOND AS mark FROM regional),
+ready AS (
+    SELECT model_id, region, event_time,
+           row_number() OVER (PARTITION BY model_id ORDER BY event_time, region) AS place
+    FROM regional WHERE pos = 0 AND event_time <= (SELECT mark FROM marked)),
+spans AS (
+    SELECT i.model_id, i.place, p.place AS upto, count(DISTINCT q.region) AS regions
+    FROM ready i JOIN ready p ON p.model_id = i.model_id AND p.place >= i.place
+              AND p.event_time <= i.event_time + INTERVAL 60 SECOND
+         JOIN ready q ON q.model_id = i.model_id AND q.place BETWEEN i.place AND p.place GROUP BY ALL),
+pointers AS (
+    SELECT model_id, place, coalesce(min(upto) FILTER (regions >= 4), max(upto)) + 1 AS following,
+           bool_or(regions >= 4) AS is_full
+    FROM spans GROUP BY model_id, place),
+starts AS (
+    WITH RECURSIVE walk(model_id, place) AS (
+        SELECT DISTINCT model_id, CAST(1 AS BIGINT) FROM ready
+        UNION ALL SELECT w.model_id, p.following FROM walk w
+            JOIN pointers p ON p.model_id = w.model_id AND p.place = w.place
+            JOIN ready r ON r.model_id = w.model_id AND r.place = p.following)
+    SELECT w.*, p.following, p.is_full, r.event_time,
+           row_number() OVER (PARTITION BY w.model_id ORDER BY w.place) - 1 AS round,
+           (SELECT max(place) FROM ready x WHERE x.model_id = w.model_id) AS total
+    FROM walk w JOIN pointers p ON p.model_id = w.model_id AND p.place = w.place
+         JOIN ready r ON r.model_id = w.model_id AND r.place = w.place),
+closed AS (
+    SELECT *, CASE WHEN is_full THEN 'regions' ELSE 'timeout' END AS reason FROM starts
+    WHERE is_full OR following <= total
+          OR event_time + INTERVAL 60 SECOND < (SELECT mark FROM marked)),
+members AS (
+    SELECT c.model_id, c.round, c.reason, r.region, r.event_time
+    FROM closed c JOIN ready r ON r.model_id = c.model_id AND r.place >= c.place AND r.place < c.following)
+SELECT m.model_id, CAST(round AS INTEGER) AS round, reason, CAST(sum(n) AS BIGINT) AS total_samples,
+       CAST(sum(updates) AS BIGINT) AS updates,
+       CAST(count(DISTINCT m.region) AS INTEGER) AS participants,
+       CAST(sum(anomalies) AS BIGINT) AS anomalies, CAST(pos AS INTEGER) AS pos,
+       {sql6("sum(n * w) / sum(n)")} AS value
+FROM members m JOIN regional g ON g.model_id = m.model_id AND g.region = m.region
+     AND g.event_time = m.event_time
+GROUP BY m.model_id, round, reason, pos"""
+
+
+@query(ROUND_FOLD)
 def stream_round_timeout(spark: SparkSession, folder: str) -> DataFrame:
     """Rounds closed by four regions or after a minute, over regional models."""
     run = run_folder(spark, "regions")
@@ -271,9 +322,8 @@ def stream_round_timeout(spark: SparkSession, folder: str) -> DataFrame:
     counts = updates.groupBy(*keys).agg(F.sum("anomalies").alias("anomalies"))
     regional = models.join(counts, keys).withColumn(
         "event_time", F.col("window.end")).drop("window")
-    regional.write.parquet(f"{run}/regional")
-    stream = spark.readStream.schema(regional.schema).parquet(f"{run}/regional")
-    rounds = run_to_table(rounds_by_participants(stream, regions=4), f"{run}/rounds")
+    stream = replayed(regional, f"{run}/regional", "event_time")
+    rounds = rounds_by_participants(stream, f"{run}/rounds", regions=4)
     return long_model(rounds, "model_id", "round", "reason", parts=("bias",),
                       extra=("total_samples", "updates", "participants", "anomalies"))
 

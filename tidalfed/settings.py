@@ -35,6 +35,7 @@ WINDOW = "30 seconds"
 WATERMARK = "10 seconds"
 REGIONS_PER_ROUND = 2
 ROUND_TIMEOUT_SECONDS = 60
+ROUND_DELAY_SECONDS = 10
 NODES_PER_ROUND = 1
 ROUND_INTERVAL = "30 seconds"
 PUBLISH_INTERVAL_MS = 10_000

@@ -2,15 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass, field
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import (
-    StatefulProcessor, StatefulProcessorHandle, StreamingQuery)
+from pyspark.sql.streaming import StreamingQuery
 
 from tidalfed import settings as S
 from tidalfed.functions.features import iso_text
@@ -18,6 +12,7 @@ from tidalfed.operators.fedavg import fedavg_vector
 from tidalfed.operators.joins import latest
 from tidalfed.operators.rollup import windowed
 from tidalfed.operators.rounds import participants, round_log
+from tidalfed.operators.roundscan import rounds_scan
 from tidalfed.session import settled
 from tidalfed.sources.roundlog import append_rounds
 from tidalfed.streaming.run import BatchTable
@@ -109,116 +104,70 @@ ROUND = ("model_id string, round int, reason string, weights array<double>, bias
          "total_samples bigint, updates bigint, participants int, anomalies bigint")
 
 
-class OpenRound(StatefulProcessor):
-    """The open round of a model: closed by enough regions, or by its time running out.
+REGIONAL = ("model_id string, region string, event_time timestamp, weights array<double>, "
+            "bias double, total_samples bigint, updates bigint, anomalies bigint")
 
-    Keeps running sums, so the state of a model has the size of one model and the names of
-    fewer regions than close a round. The time is event time: a round ends at the first
-    message beyond its time, or by a timer when none comes.
-    """
 
-    def __init__(self, regions: int, timeout_seconds: int) -> None:
-        self.regions = regions
-        self.timeout = timeout_seconds * 1000
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState(
-            "state", "round int, opened bigint, nw array<double>, n bigint, updates bigint, "
-                     "anomalies bigint, regions array<string>")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        current = self._load()
-        opened_before = current.opened
-        for chunk in rows:
-            closed = []
-            for row in chunk.sort_values(["event_time", "region"]).itertuples(index=False):
-                if row.total_samples <= 0:
-                    continue
-                now = row.event_time.value // 1_000_000
-                if current.opened is not None and now > current.opened + self.timeout:
-                    closed.append(current.report(key[0], "timeout"))
-                    current = current.following()
-                current.add(row, now)
-                if len(current.regions) >= self.regions:
-                    closed.append(current.report(key[0], "regions"))
-                    current = current.following()
-            if closed:
-                yield pd.DataFrame(closed)
-        if current.opened != opened_before:
-            if opened_before is not None:
-                self.handle.deleteTimer(opened_before + self.timeout)
-            if current.opened is not None:
-                self.handle.registerTimer(current.opened + self.timeout)
-        self._store(current)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        current = self._load()
-        if current.opened is not None:
-            self._store(current.following())
-            yield pd.DataFrame([current.report(key[0], "timeout")])
-
-    def close(self) -> None:
-        pass
-
-    def _load(self) -> RoundSums:
-        if not self.state.exists():
-            return RoundSums()
-        number, opened, nw, n, updates, anomalies, regions = self.state.get()
-        return RoundSums(number, opened, np.asarray(nw, dtype=float), n, updates, anomalies,
-                         set(regions))
-
-    def _store(self, sums: RoundSums) -> None:
-        self.state.update((sums.round, sums.opened, sums.nw.tolist(), sums.n, sums.updates,
-                           sums.anomalies, sorted(sums.regions)))
-
-
-@dataclass
-class RoundSums:
-    """What an open round has taken in: sums, and the regions that took part."""
-
-    round: int = 0
-    opened: int | None = None
-    nw: np.ndarray = field(default_factory=lambda: np.zeros(1))
-    n: int = 0
-    updates: int = 0
-    anomalies: int = 0
-    regions: set[str] = field(default_factory=set)
-
-    def add(self, row, now: int) -> None:
-        if self.opened is None:
-            self.opened = now
-        vector = np.append(np.asarray(row.weights, dtype=float), row.bias)
-        self.nw = self.nw + row.total_samples * vector
-        self.n += int(row.total_samples)
-        self.updates += int(row.updates)
-        self.anomalies += int(row.anomalies)
-        self.regions.add(row.region)
-
-    def following(self) -> RoundSums:
-        return RoundSums(self.round + 1)
-
-    def report(self, model_id: str, reason: str) -> dict:
-        """The averaged model of the round."""
-        mean = self.nw / self.n
-        return {
-            "model_id": model_id, "round": self.round, "reason": reason,
-            "weights": mean[:-1].tolist(), "bias": float(mean[-1]),
-            "total_samples": self.n, "updates": self.updates,
-            "participants": len(self.regions), "anomalies": self.anomalies,
-        }
-
-
-def rounds_by_participants(regional: DataFrame, regions: int = S.REGIONS_PER_ROUND,
-                           timeout_seconds: int = S.ROUND_TIMEOUT_SECONDS,
-                           watermark: str = S.WATERMARK) -> DataFrame:
-    """Rounds over a stream of regional models, the output of the regional roll-up.
-
-    A model is one key of the state, and what reaches it is one row per region and window:
-    the readings and updates themselves have been averaged before.
+class ParticipantRounds:
+    """Rounds closed by enough regions or by their time running out; for ``foreachBatch``.
+
+    Messages are held until the watermark, ``delay_seconds`` behind the newest one, has passed
+    them and are then gone through in order of time and region, so files and triggers do not
+    change the rounds. A round still open when all older messages are in is closed by the
+    watermark itself. The rounds of a trigger come from :func:`rounds_scan`; kept between
+    triggers are the held messages and those of open rounds. A message older than the
+    watermark joins the round that is open when it comes.
     """
-    timed = regional.withWatermark("event_time", watermark).select(
-        "model_id", "region", "event_time", "weights", "bias", "total_samples", "updates",
-        "anomalies")
-    return timed.groupBy("model_id").transformWithStateInPandas(
-        OpenRound(regions, timeout_seconds), ROUND, "append", "EventTime")
+
+    def __init__(self, folder: str, regions: int = S.REGIONS_PER_ROUND,
+                 timeout_seconds: float = S.ROUND_TIMEOUT_SECONDS,
+                 delay_seconds: float = S.ROUND_DELAY_SECONDS, **scan) -> None:
+        self.folder, self.regions, self.timeout = folder, regions, timeout_seconds
+        self.delay, self.scan = delay_seconds, scan
+        self.waiting = BatchTable(f"{folder}/waiting", REGIONAL)
+        self.rounds = BatchTable(f"{folder}/rounds", ROUND)
+        self.counts = ChangeTable(f"{folder}/counts", "model_id string, round int", ["model_id"])
+        self.marks = ChangeTable(f"{folder}/marks", "name string, mark timestamp", ["name"])
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        came = batch.filter("total_samples > 0").select(*_columns(REGIONAL))
+        moved = came.select(F.lit("mark").alias("name"), (
+            F.col("event_time") - F.make_dt_interval(secs=F.lit(float(self.delay)))).alias("mark"))
+        self.marks.change(moved.unionByName(self.marks.before(spark, batch_id)).groupBy(
+            "name").agg(F.max("mark").alias("mark")), batch_id)
+        newest = self.marks.at(spark, batch_id).select(F.col("mark").cast("string")).first()
+        mark = F.lit(newest[0] if newest else None).cast("timestamp")
+        arrived = settled(came.unionByName(self.waiting.before(spark, batch_id)))
+        scanned = settled(rounds_scan(
+            arrived.filter(F.col("event_time") <= mark), minimum=self.regions,
+            timeout_seconds=self.timeout, clock=mark, **self.scan))
+        counts = self.counts.before(spark, batch_id).withColumnRenamed("round", "_done")
+        closed = scanned.filter("reason IS NOT NULL").join(counts, "model_id", "left").withColumn(
+            "round", F.col("round") + F.coalesce("_done", F.lit(0)))
+        keys = ["model_id", "round", "reason"]
+        models = fedavg_vector(closed, keys, loss=None, samples="total_samples").drop("updates")
+        sums = closed.groupBy(*keys).agg(
+            F.sum("updates").alias("updates"), F.sum("anomalies").alias("anomalies"),
+            F.count_distinct("region").cast("int").alias("participants"))
+        published = self.rounds.write(models.join(sums, keys), batch_id)
+        self.counts.change(published.groupBy("model_id").agg(
+            (F.max("round") + 1).alias("round")), batch_id)
+        later = arrived.filter((F.col("event_time") > mark) | mark.isNull())
+        self.waiting.write(scanned.filter("reason IS NULL").select(*arrived.columns).unionByName(
+            later), batch_id)
+
+
+def _columns(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
+
+
+def rounds_by_participants(regional: DataFrame, folder: str,
+                           regions: int = S.REGIONS_PER_ROUND,
+                           timeout_seconds: float = S.ROUND_TIMEOUT_SECONDS,
+                           **options) -> DataFrame:
+    """Work through a stream of regional models, the output of the regional roll-up; rounds."""
+    job = ParticipantRounds(folder, regions, timeout_seconds, **options)
+    (regional.writeStream.foreachBatch(job).option("checkpointLocation", f"{folder}/checkpoint")
+     .trigger(availableNow=True).start().awaitTermination())
+    return job.rounds.read(regional.sparkSession)
