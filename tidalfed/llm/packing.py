@@ -13,6 +13,7 @@ packed as rows of their own. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import string
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,11 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidalfed.llm.common import running_totals, settled
+from tidalfed.llm.common import pieces_of, running_totals, settled
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
+#: ASCII marks that end a word; the apostrophe may begin a piece of letters of its own.
+MARKS = string.punctuation.replace("'", "")
+#: Bytes of text whose words are looked up at once.
+SLICE = 2_000_000
 
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long")
 
@@ -36,7 +41,9 @@ class WordIds(dict):
     """Ids of a chunk between spaces as little-endian bytes, remembered up to a limit.
 
     Letters are split from what is not a letter and lower-cased by the tokenizer itself, so
-    a chunk of letters with one mark after it is looked up in two parts, in lower case.
+    a chunk of letters with marks after it is looked up in two parts, in lower case. That
+    holds as long as lower-casing leaves letters only: of a dotted capital I it leaves a
+    combining mark, to which the mark after it would belong.
     """
 
     MOST = 600_000
@@ -47,16 +54,28 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
 
-    def __missing__(self, chunk: str) -> bytes:
-        if chunk[-1:] in (",", ".") and chunk[:-1].isalpha():
-            return self[chunk[:-1]] + self[chunk[-1]]
-        if chunk.isalpha() and "\u03a3" not in chunk and chunk != chunk.lower():
-            return self[chunk.lower()]  # sigma is lower-cased by its place in Python only
+    @staticmethod
+    def parts(chunk: str) -> tuple[str, ...]:
+        """What a chunk is looked up by: itself, or lower-cased letters and closing marks."""
+        letters = chunk.rstrip(MARKS)
+        mark, lower = chunk[len(letters):], letters.lower()
+        if letters.isalpha() and lower.isalpha() and "\u03a3" not in letters:
+            # Sigma is lower-cased by its place in Python only.
+            return (lower, mark) if mark else (lower,)
+        return (chunk,)
+
+    def learn(self, chunks: set[str]) -> None:
+        """Look all new chunks up at once."""
         if len(self) > self.MOST:
             self.clear()
-        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        code = self[chunk] = np.array(ids, dtype="<u4").tobytes()
-        return code
+        new = {c: self.parts(c) for c in chunks - self.keys()}
+        asked = list({p for ps in new.values() for p in ps} - self.keys())
+        for part, found in zip(asked, self.tokenizer.encode_batch_fast(
+                asked, add_special_tokens=False)):
+            self[part] = np.array(found.ids, dtype="<u4").tobytes()
+        for chunk, ps in new.items():
+            if chunk not in self:
+                self[chunk] = b"".join([self[p] for p in ps])
 
 
 @lru_cache(maxsize=1)
@@ -73,11 +92,12 @@ def tokenized(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) ->
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(tokenizer_path)
         end = np.array([END_ID], dtype="<u4").tobytes()
-        for batch in batches:
+        for batch in (b.slice(i, j - i) for b in batches for i, j in pieces_of(b, 1, SLICE)):
             out: list[list[int]] = [[], [], [], [], []]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                chunks = (text.as_py() or "").replace("\n", " ").split(" ")
-                ids = b"".join(map(words.__getitem__, chunks)) + end
+            texts = [(t or "").replace("\n", " ").split(" ") for t in batch.column(1).to_pylist()]
+            words.learn(set().union(*texts))
+            for doc_id, chunks in zip(batch.column(0).to_pylist(), texts):
+                ids = b"".join([words[c] for c in chunks]) + end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     for column, value in zip(out, (doc_id, piece, at // 4, len(part) // 4,
