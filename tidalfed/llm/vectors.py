@@ -77,25 +77,26 @@ def vector_classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def links_of(classes: DataFrame, cosine: float, tables: int, block: int) -> DataFrame:
-    """``class``, ``other``, ``links``: linked vectors per class (``other`` null), and for
-    the components of each block a link from each class to the component's smallest."""
+    """``label``, ``_hash``, ``class``, ``other``, ``links``: for each block and class with
+    links their number, and the smallest id of its component there."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, unit in matrix(batch.column("vector")):
                 keys = bucket_keys(unit, tables)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(batch.column(c).to_numpy()[rows], tables))
-                     for c in ("class", "label")]
+                    [batch.column(c).take(pa.array(np.repeat(rows, tables)))
+                     for c in ("_hash", "label")]
                     + [pa.array(np.tile(np.arange(tables, dtype=np.int32), len(rows))),
-                       pa.array(keys.ravel())], names=["class", "label", "table", "key"])
+                       pa.array(keys.ravel())], names=["_hash", "label", "table", "key"])
 
-    buckets = classes.select("class", F.col("label").cast("long"), "vector").mapInArrow(
-        keyed, "class long, label long, table int, key long")
+    classes = classes.withColumn("label", F.col("label").cast("long"))
+    buckets = classes.select("_hash", "label", "vector").mapInArrow(
+        keyed, "_hash string, label long, table int, key long")
     key = ["label", "table", "key"]
-    # Vectors join by class only where a bucket holds two or more.
-    met = in_blocks(settled(buckets, "buckets"), key, "class", block).join(
-        classes.select("class", "copies", "vector"), "class")
+    # Vectors join by label and hash, what makes a class, only where a bucket holds two or more.
+    met = in_blocks(settled(buckets, "buckets"), key, "_hash", block).join(
+        classes.select("label", "_hash", "class", "copies", "vector"), ["label", "_hash"])
     order = [*key, "_a", "_b"]
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +106,7 @@ def links_of(classes: DataFrame, cosine: float, tables: int, block: int) -> Data
                 yield out
 
     return met.repartition(*order).sortWithinPartitions(*order).mapInArrow(
-        verify, "class long, other long, links long")
+        verify, "label long, _hash string, class long, other long, links long")
 
 
 def check_blocks(batch: pa.RecordBatch, order: list[str], cosine: float,
@@ -123,7 +124,7 @@ def check_blocks(batch: pa.RecordBatch, order: list[str], cosine: float,
         k = bucket_keys(u, tables)
         for i, at in enumerate(r):
             unit_of[at] = (u[i], k[i])
-    out: list[tuple[int, int | None, int]] = []
+    out: list[tuple[int, int, int, int]] = []
     for start, end in zip(starts, starts[1:]):
         if end - start < 2:
             continue
@@ -147,11 +148,14 @@ def check_blocks(batch: pa.RecordBatch, order: list[str], cosine: float,
                 break
             least = step
         for i in np.flatnonzero(totals).tolist():
-            out.append((int(ids[start + i]), int(least[i]), int(totals[i])))
+            out.append((start + i, int(ids[start + i]), int(least[i]), int(totals[i])))
     if not out:
         return None
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)],
-                                      names=["class", "other", "links"])
+    rows, *counts = zip(*out)
+    return pa.RecordBatch.from_arrays(
+        [*(batch.column(c).take(pa.array(rows)) for c in ("label", "_hash")),
+         *(pa.array(c, pa.int64()) for c in counts)],
+        names=["label", "_hash", "class", "other", "links"])
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES,
@@ -159,9 +163,10 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLE
     """vec_id, n_links, component_id, kept for every row."""
     rows, classes = vector_classes(vectors)
     found = settled(links_of(classes, cosine, tables, block), "found")
-    linked = found.groupBy("class").agg(F.sum("links").alias("_linked"))
+    linked = found.groupBy("label", "_hash").agg(F.sum("links").alias("_linked"))
     parts = components(found.select(F.col("class").alias("a"), F.col("other").alias("b")))
-    known = classes.select("label", "_hash", "class", "copies").join(linked, "class", "left").join(
+    known = classes.select("label", "_hash", "class", "copies").join(
+        linked, ["label", "_hash"], "left").join(
         parts, F.col("class") == F.col("node"), "left").select(
         "label", "_hash",
         (F.col("copies") - 1 + F.coalesce("_linked", F.lit(0))).alias("n_links"),
