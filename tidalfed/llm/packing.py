@@ -24,15 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidalfed.llm.common import pieces_of, running_totals, settled
+from tidalfed.llm.common import running_totals, settled
 
 CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 #: ASCII marks that end a word; the apostrophe may begin a piece of letters of its own.
 MARKS = string.punctuation.replace("'", "")
-#: Bytes of text whose words are looked up at once.
-SLICE = 2_000_000
 
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long")
 
@@ -64,18 +62,15 @@ class WordIds(dict):
             return (lower, mark) if mark else (lower,)
         return (chunk,)
 
-    def learn(self, chunks: set[str]) -> None:
-        """Look all new chunks up at once."""
+    def __missing__(self, chunk: str) -> bytes:
+        parts = self.parts(chunk)
+        if parts != (chunk,):
+            return b"".join([self[part] for part in parts])  # not kept: the parts are
         if len(self) > self.MOST:
             self.clear()
-        new = {c: self.parts(c) for c in chunks - self.keys()}
-        asked = list({p for ps in new.values() for p in ps} - self.keys())
-        for part, found in zip(asked, self.tokenizer.encode_batch_fast(
-                asked, add_special_tokens=False)):
-            self[part] = np.array(found.ids, dtype="<u4").tobytes()
-        for chunk, ps in new.items():
-            if chunk not in self:
-                self[chunk] = b"".join([self[p] for p in ps])
+        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        code = self[chunk] = np.array(ids, dtype="<u4").tobytes()
+        return code
 
 
 @lru_cache(maxsize=1)
@@ -92,12 +87,11 @@ def tokenized(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) ->
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(tokenizer_path)
         end = np.array([END_ID], dtype="<u4").tobytes()
-        for batch in (b.slice(i, j - i) for b in batches for i, j in pieces_of(b, 1, SLICE)):
+        for batch in batches:
             out: list[list[int]] = [[], [], [], [], []]
-            texts = [(t or "").replace("\n", " ").split(" ") for t in batch.column(1).to_pylist()]
-            words.learn(set().union(*texts))
-            for doc_id, chunks in zip(batch.column(0).to_pylist(), texts):
-                ids = b"".join([words[c] for c in chunks]) + end
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                chunks = (text.as_py() or "").replace("\n", " ").split(" ")
+                ids = b"".join(map(words.__getitem__, chunks)) + end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     for column, value in zip(out, (doc_id, piece, at // 4, len(part) // 4,
