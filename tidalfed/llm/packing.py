@@ -44,7 +44,7 @@ class WordIds(dict):
     combining mark, to which the mark after it would belong.
     """
 
-    MOST = 600_000
+    MOST = 1_200_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
