@@ -4,6 +4,8 @@ import __spark_entry__ as entry
 import pytest
 from pyspark.sql import functions as F
 
+from tidalfed.operators.sizing import sized_broadcast
+from tidalfed import plans
 from tidalfed.functions import features as X
 from tidalfed.operators import fedavg, joins
 from tidalfed.operators import training as T
@@ -58,3 +60,31 @@ def test_scans_read_only_what_is_needed(spark, small):
 def test_entity_filter_is_not_a_shuffle(spark, small):
     text = plan(entry.queries()["filter_entity"](spark, small))
     assert "Exchange" not in text
+
+
+def test_messages_are_parsed_once(spark, small):
+    told = plan(plans.queries()["reject_bad"](spark, small))
+    assert told.count("from_json(") == 1 and told.count("FileScan") == 1
+    # Three branches make the messages; the parser stands above their union.
+    kinds = plan(plans.queries()["demux_messages"](spark, small))
+    assert kinds.lower().count("parsejson") == 1
+
+
+def test_topic_sizes_come_from_one_pass(spark, small):
+    sizes = plan(plans.queries()["bytes_by_topic"](spark, small))
+    assert sizes.count("FileScan") == 2  # readings and updates, once each
+
+
+def test_broadcast_is_measured(spark):
+    def hinted(frame, most):
+        side = sized_broadcast(frame, max_bytes=most)
+        return "ResolvedHint" in side._jdf.queryExecution().analyzed().toString()
+
+    lists = spark.range(100).select("id", F.array_repeat(F.lit(1.0), 1000).alias("weights"))
+    # 100 rows of 8000 bytes and 48 for the row itself.
+    assert hinted(lists, 804_800) and not hinted(lists, 804_799)
+    texts = spark.range(10).select(F.repeat(F.lit("ab"), 500).alias("text"))
+    assert hinted(texts, 10_320) and not hinted(texts, 10_319)
+    nested = spark.range(10).select(F.struct(F.repeat(F.lit("ab"), 500).alias("t")).alias("s"))
+    assert hinted(nested, 20_000) and not hinted(nested, 10_320)
+    assert hinted(spark.range(0), 100)

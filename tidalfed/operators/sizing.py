@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,14 +26,30 @@ def group_sizes(df: DataFrame, keys: Sequence[str],
 
 
 def row_bytes(schema: T.StructType) -> int:
-    """A generous width of one row; arrays and texts count as 1 KiB."""
-    wide = (T.ArrayType, T.StringType, T.StructType, T.MapType, T.BinaryType)
-    return 16 + sum(1024 if isinstance(f.dataType, wide) else 16 for f in schema.fields)
+    """Least width of one row."""
+    return 16 + 16 * len(schema.fields)
+
+
+def measured_bytes(schema: T.StructType) -> Column:
+    """Width of a row as it is: texts and lists by their length, other nested values as JSON."""
+    width = F.lit(row_bytes(schema)).cast("long")
+    for field in schema.fields:
+        value, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            more = F.octet_length(value)
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+            more = 8 * F.size(value)
+        elif isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+            more = F.octet_length(F.to_json(F.struct(value)))
+        else:
+            continue
+        width = width + F.greatest(F.coalesce(more, F.lit(0)), F.lit(0))
+    return width
 
 
 def sized_broadcast(df: DataFrame, max_bytes: int = S.BROADCAST_BYTES,
                     computed: bool = False) -> DataFrame:
-    """Mark the side for broadcast only when its counted rows fit ``max_bytes``.
+    """Mark the side for broadcast only when its rows, as measured, fit ``max_bytes``.
 
     Beyond that the frame is returned as it is: the join then shuffles both sides, and
     adaptive execution splits the partitions of a hot key. A ``computed`` side, such as an
@@ -41,10 +57,10 @@ def sized_broadcast(df: DataFrame, max_bytes: int = S.BROADCAST_BYTES,
     """
     if computed:
         df = settled(df)
+    # No more rows are measured than could fit.
     bound = max(1, max_bytes // row_bytes(df.schema))
-    if df.limit(bound + 1).count() <= bound:
-        return F.broadcast(df)
-    return df
+    found = df.limit(bound + 1).agg(F.sum(measured_bytes(df.schema)).alias("bytes")).first()
+    return F.broadcast(df) if (found["bytes"] or 0) <= max_bytes else df
 
 
 def lookup(left: DataFrame, right: DataFrame, keys: Sequence[str],

@@ -19,15 +19,18 @@ def initial_models(nodes: DataFrame, key: str, features: int,
                    seed: int | None = None) -> DataFrame:
     """A start model per node: zeros, or small normal values fixed by the seed.
 
-    The seeded values are a Box-Muller transform of two hashes of (node, position, seed),
-    so that they do not depend on the partitioning, as ``randn`` would.
+    The seeded values are a Box-Muller transform of two numbers made of the first 52 bits of
+    md5 of ``key:position:seed:1`` and ``:2``: they do not depend on the partitioning, as
+    ``randn`` would, and any SQL engine can repeat them.
     """
     if seed is None:
         weights = zeros(features)
     else:
         def uniform(salt: int, j: Column) -> Column:
-            bits = F.pmod(F.xxhash64(key, j, F.lit(seed), F.lit(salt)), F.lit(1 << 52))
-            return (bits.cast("double") + 0.5) / float(1 << 52)
+            name = F.concat_ws(":", F.col(key).cast("string"), j.cast("string"),
+                               F.lit(str(seed)), F.lit(str(salt)))
+            bits = F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("double")
+            return (bits + 0.5) / float(1 << 52)
 
         weights = F.transform(
             F.sequence(F.lit(0), F.lit(features - 1)),

@@ -187,10 +187,11 @@ SELECT round, count(DISTINCT region) AS participants, count(DISTINCT region) >=
 FROM updates GROUP BY round""")
 def round_ready(spark: SparkSession, folder: str) -> DataFrame:
     """Participants of each round and whether they are enough."""
-    updates = tables.updates(spark, folder)
-    names = rounds.participants(updates, ["round"]).select(
+    # Both operators only look at distinct participants: the updates are read once for these.
+    seen = settled(tables.updates(spark, folder).select("round", "region").distinct())
+    names = rounds.participants(seen, ["round"]).select(
         "round", F.array_join("participants", ",").alias("regions"))
-    return rounds.round_ready(updates, ["round"]).join(names, "round")
+    return rounds.round_ready(seen, ["round"]).join(names, "round")
 
 
 @query(f"""{views("updates")}

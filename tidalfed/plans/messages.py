@@ -110,7 +110,7 @@ def demux_messages(spark: SparkSession, folder: str) -> DataFrame:
     updates = tables.updates(spark, folder)
     messages = (reading_messages(tables.readings(spark, folder))
                 .unionByName(model_messages(updates)).unionByName(metric_messages(updates)))
-    return messages.groupBy(topics.message_kind().alias("kind"), "topic").agg(
+    return topics.with_kind(messages).groupBy("kind", "topic").agg(
         F.count(F.lit(1)).alias("messages"))
 
 
@@ -232,11 +232,11 @@ def reject_bad(spark: SparkSession, folder: str) -> DataFrame:
     messages = sent.select("key", "topic", "timestamp", F.when(
         F.col("event_id") % 7 == 0, F.expr("left(whole, length(whole) - 3)"))
         .otherwise(F.col("whole")).alias("value"))
-    good, rejected = topics.split_rejects(messages, READING_ELECTRIC,
-                                          ["edge_id", "voltage", "label"])
-    counted = good.select("edge_id", F.lit("good").alias("outcome")).unionByName(
-        rejected.select(F.col("key").alias("edge_id"), F.lit("rejected").alias("outcome")))
-    return counted.groupBy("edge_id", "outcome").agg(F.count(F.lit(1)).alias("messages"))
+    told = topics.checked(messages, READING_ELECTRIC, ["edge_id", "voltage", "label"])
+    return told.groupBy(
+        F.when(F.col("_sound"), F.col("data.edge_id")).otherwise(F.col("key")).alias("edge_id"),
+        F.when(F.col("_sound"), "good").otherwise("rejected").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("messages"))
 
 
 @query(f"""{views("updates")},

@@ -172,7 +172,19 @@ step AS ({_sql_step("slope", "model_id, node_id")})
 """
 
 
-@query()
+def _sql_uniform(salt: int) -> str:
+    """52 bits of md5 of node, position, seed 42 and salt, as a number between 0 and 1."""
+    return (f"(CAST(CAST('0x' || substr(md5(node_id || ':' || pos || ':42:{salt}'), 1, 13) "
+            f"AS BIGINT) AS DOUBLE) + 0.5e0) / {1 << 52}e0")
+
+
+@query(f"""
+WITH cells AS (SELECT DISTINCT CAST(l_suppkey % 2 + 1 AS INTEGER) AS node_id,
+                      CAST(pos AS INTEGER) AS pos FROM lineitem, range(6) AS r(pos))
+SELECT node_id, pos,
+       CASE WHEN pos = 5 THEN 0e0 ELSE {sql6(f"""0.01e0 * sqrt(-2e0 * ln({_sql_uniform(1)}))
+           * cos(6.283185307179586e0 * {_sql_uniform(2)})""")} END AS value
+FROM cells""")
 def init_weights_seeded(spark: SparkSession, folder: str) -> DataFrame:
     """Small normal start weights that depend on node, position and seed only."""
     machine = tables.machine(spark, folder)

@@ -113,7 +113,7 @@ SELECT model_id, 0 AS page, min(round) AS first_round, max(round) AS last_round,
 FROM rounds GROUP BY model_id""")
 def loss_history(spark: SparkSession, folder: str) -> DataFrame:
     """All losses of a model, oldest first (in thousandths)."""
-    history = rounds.loss_history(short_rounds(tables.updates(spark, folder)))
+    history = rounds.loss_history(settled(short_rounds(tables.updates(spark, folder))))
     text = F.transform("losses", lambda x: F.round(x * 1000).cast("bigint").cast("string"))
     return history.select("model_id", "page", "first_round", "last_round",
                           F.size("losses").cast("bigint").alias("rounds"),
@@ -181,8 +181,8 @@ SELECT region, window_start, total_n_samples,
 FROM windows""")
 def round_number(spark: SparkSession, folder: str) -> DataFrame:
     """The published windows of each region numbered in order."""
-    numbered = rounds.round_numbers(rollup.regional_totals(tables.updates(spark, folder)),
-                                    ["region"])
+    numbered = rounds.round_numbers(
+        settled(rollup.regional_totals(tables.updates(spark, folder))), ["region"])
     return numbered.select("region", plain_time("window_start").alias("window_start"),
                            "total_n_samples", "round")
 

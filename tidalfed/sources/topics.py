@@ -67,37 +67,51 @@ def decode(messages: DataFrame, schema: str, event_time: str = "event_time") ->
     return parsed.select("data.*", F.col("timestamp").alias(event_time))
 
 
-def split_rejects(messages: DataFrame, schema: str, required: Sequence[str],
-                  not_empty: Sequence[str] = (),
-                  event_time: str = "event_time") -> tuple[DataFrame, DataFrame]:
-    """Decoded rows that hold all required fields, and the messages that do not."""
-    fields = F.from_json("value", schema)
+def parsed_once(messages: DataFrame, value: Column, name: str) -> DataFrame:
+    """``messages`` with the parsed value beside them. A generator holds the parser: filters on
+    its fields stay above it, where they would otherwise take a copy of it each."""
+    return messages.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+
+
+def checked(messages: DataFrame, schema: str, required: Sequence[str],
+            not_empty: Sequence[str] = ()) -> DataFrame:
+    """Messages with ``data``, the decoded fields, and ``_sound``: all required ones are there."""
     sound = F.lit(True)
     for name in required:
         sound = sound & F.col(f"data.{name}").isNotNull()
     for name in not_empty:
         sound = sound & (F.coalesce(F.size(f"data.{name}"), F.lit(0)) > 0)
-    parsed = messages.withColumn("data", fields).withColumn("_sound", sound)
+    return parsed_once(messages, F.from_json("value", schema), "data").withColumn("_sound", sound)
+
+
+def split_rejects(messages: DataFrame, schema: str, required: Sequence[str],
+                  not_empty: Sequence[str] = (),
+                  event_time: str = "event_time") -> tuple[DataFrame, DataFrame]:
+    """Decoded rows that hold all required fields, and the messages that do not."""
+    parsed = checked(messages, schema, required, not_empty)
     good = parsed.filter("_sound").select("data.*", F.col("timestamp").alias(event_time))
     return good, parsed.filter(~F.col("_sound")).drop("data", "_sound")
 
 
-def has_fields(names: Sequence[str], value: str = "value") -> Column:
-    """Whether the JSON text holds all these fields: messages are told apart by shape."""
+def has_fields(names: Sequence[str], parsed: str) -> Column:
+    """Whether the parsed message holds all these fields: messages are told apart by shape."""
     found = F.lit(True)
     for name in names:
-        found = found & F.get_json_object(value, f"$.{name}").isNotNull()
+        found = found & F.try_variant_get(parsed, f"$.{name}", "string").isNotNull()
     return found
 
 
-def message_kind(value: str = "value") -> Column:
-    """``model``, ``metrics``, ``reading`` or ``other``."""
-    return (
-        F.when(has_fields(["global_weights"], value), "model")
-        .when(has_fields(["round", "participating_regions"], value), "metrics")
-        .when(has_fields(["edge_id", "label"], value), "reading")
+def with_kind(messages: DataFrame) -> DataFrame:
+    """Messages with ``kind``: ``model``, ``metrics``, ``reading`` or ``other``; each text is
+    parsed once."""
+    kind = (
+        F.when(has_fields(["global_weights"], "_parsed"), "model")
+        .when(has_fields(["round", "participating_regions"], "_parsed"), "metrics")
+        .when(has_fields(["edge_id", "label"], "_parsed"), "reading")
         .otherwise("other")
     )
+    parsed = parsed_once(messages, F.try_parse_json("value"), "_parsed")
+    return parsed.withColumn("kind", kind).drop("_parsed")
 
 
 def publish(messages: DataFrame, checkpoint: str, *, format: str = "kafka",
