@@ -18,7 +18,7 @@ from tidalfed.operators.sizing import sized_broadcast
 from tidalfed.operators.training import evaluate, sgd_step
 from tidalfed.session import settled
 from tidalfed.sources.topics import table_sink
-from tidalfed.streaming.rounds import MODEL
+from tidalfed.streaming.rounds import MODEL as GLOBAL_MODEL
 from tidalfed.streaming.state import ChangeTable, committed
 
 NODE = ("model_id string, node_id int, weights array<double>, bias double, n_samples bigint, "
@@ -38,7 +38,7 @@ class BatchTraining:
 
     def __init__(self, folder: str, features: Sequence[Column], rate: float = S.LEARNING_RATE,
                  min_nodes: int = S.NODES_PER_ROUND) -> None:
-        self.models = ChangeTable(f"{folder}/models", MODEL, ["model_id"])
+        self.models = ChangeTable(f"{folder}/models", GLOBAL_MODEL, ["model_id"])
         self.nodes = ChangeTable(f"{folder}/nodes", NODE, ["model_id", "node_id"])
         self.features = list(features)
         self.rate = rate
