@@ -40,3 +40,13 @@ def test_likeness_is_generalised_jaccard(spark, case):
     exact = sum(generalised_jaccard(*pair) for pair in pairs) / PAIRS
     # 64 draws of each pair: the mean's standard deviation is at most 0.01.
     assert abs(sum(got[2 * i] for i in range(PAIRS)) / PAIRS - exact) < 0.04
+
+
+def test_texts_and_signatures_stay_in_their_slices(spark):
+    docs = spark.createDataFrame([(i, words(f"a{i}", 20)) for i in range(50)],
+                                 "doc_id long, text string")
+    plan = fingerprints.fingerprints(docs, slice_bytes=500)._jdf.queryExecution().toString()
+    physical = plan.split("== Physical Plan ==")[1]
+    dealt = [line for line in physical.splitlines() if "Exchange hashpartitioning" in line]
+    assert dealt and not any("_place" in line for line in dealt)
+    assert "collect_list" not in physical and "Join" not in physical

@@ -27,6 +27,7 @@ PARTS, DRAWS = 8, 8
 #: Bytes of text in one slice of the id order; slices are what tasks work on.
 SLICE = 4 << 20
 EMPTY = "-" * 16
+BLANKS = " \t\n\x0b\f\r"
 
 
 def uniforms(seed: int, *terms: str) -> tuple[Column, Column]:
@@ -86,40 +87,53 @@ def with_next(docs: DataFrame, slice_bytes: int) -> DataFrame:
                         F.row_number().over(line).alias("_place"))
 
 
+def pairs(body: str) -> Column:
+    """The words of a text with the one after each; the last word's is null."""
+    # Without blanks at the ends no word is empty, but for a text without words.
+    words = F.split(F.btrim(F.lower(body), F.lit(BLANKS)), r"[\x20\x09-\x0D]+")
+    return F.when(F.btrim(body, F.lit(BLANKS)) != "", F.arrays_zip(
+        words.alias("one"), F.slice(words, F.lit(2), F.size(words)).alias("two")))
+
+
 def signatures(texts: DataFrame, parts: int, draws: int) -> DataFrame:
     """``_slice``, ``_place``, ``fingerprint``, ``edited_fingerprint``; no shuffle by term."""
     terms = texts.select("_slice", "_place", F.explode(F.array(
         F.struct(F.lit(0).alias("kind"), F.col("text").alias("body")),
         F.struct(F.lit(1).alias("kind"), F.col("edited").alias("body")))).alias("_one")).select(
-        "_slice", "_place", "_one.kind",
-        F.filter(F.split(F.lower("_one.body"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-        .alias("words")).filter(F.size("words") > 0).select(
-        "_slice", "_place", "kind", F.explode(F.arrays_zip(
-            F.col("words").alias("one"),
-            F.slice("words", F.lit(2), F.size("words")).alias("two"))).alias("pair")).select(
+        "_slice", "_place", "_one.kind", F.explode(pairs("_one.body")).alias("pair")).select(
         "_slice", "_place", "kind", F.xxhash64("pair.one", "pair.two").alias("term"))
-    weighed = terms.groupBy("_slice", "_place", "kind", "term").agg(
-        F.count("*").alias("weight"))
-    # The list of a term names texts of one slice, each at most twice.
-    shared = weighed.groupBy("_slice", "term", "weight").agg(
-        F.collect_list(F.struct("_place", "kind")).alias("_texts"))
-    drawn = shared.select("_slice", "term", F.log("weight").alias("log_weight"), "_texts",
-                          F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")).select(
-        "_slice", "part", "_texts", *samples(draws))
+    # A text and its edited form share most terms: those of equal weight are drawn once.
+    weighed = terms.groupBy("_slice", "_place", "term").agg(
+        F.count_if(F.col("kind") == 0).alias("_w0"), F.count_if(F.col("kind") == 1).alias("_w1"))
+    same = F.col("_w0") == F.col("_w1")
+    once = lambda w, plain, other: F.struct(
+        w.alias("weight"), F.lit(plain).alias("plain"), F.lit(other).alias("other"))
+    each = F.when(same, F.array(once(F.col("_w0"), True, True))).otherwise(F.array(
+        once(F.col("_w0"), True, False), once(F.col("_w1"), False, True)))
+    drawn = weighed.select("_slice", "_place", "term", F.explode(each).alias("_one")).select(
+        "_slice", "_place", "term", "_one.*").filter("weight > 0").select(
+        "_slice", "_place", "term", F.log("weight").alias("log_weight"), "plain", "other",
+        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")).select(
+        "_slice", "_place", "part", "plain", "other", *samples(draws))
     names = [f"s{k}" for k in range(draws)]
-    least = drawn.select("_slice", "part", *names, F.explode("_texts").alias("_one")).groupBy(
-        "_slice", "_one._place", "_one.kind", "part").agg(*(F.min(s).alias(s) for s in names))
-    values = F.concat(*(F.lpad(F.hex(F.xxhash64(s)), 16, "0") for s in names))
-    named = least.select("_slice", "_place", "kind", "part", F.lower(values).alias("value"))
+    least = drawn.groupBy("_slice", "_place", "part").agg(
+        *(F.min(F.when(F.col("plain"), F.col(s))).alias(s) for s in names),
+        *(F.min(F.when(F.col("other"), F.col(s))).alias(f"e{s}") for s in names))
+
+    def value(columns: list[str]) -> Column:
+        """Null for a text without terms."""
+        return F.lower(F.concat(*(F.when(F.col(s).isNotNull(), F.lpad(
+            F.hex(F.xxhash64(s)), 16, "0")) for s in columns)))
+
+    named = least.select("_slice", "_place", "part", value(names).alias("plain"),
+                         value([f"e{s}" for s in names]).alias("other"))
 
-    def whole(kind: int) -> Column:
-        return F.concat(*(
-            F.coalesce(F.max(F.when((F.col("kind") == kind) & (F.col("part") == p),
-                                    F.col("value"))), F.lit(EMPTY * draws))
-            for p in range(parts)))
+    def whole(column: str) -> Column:
+        return F.concat(*(F.max(F.when(F.col("part") == p, F.col(column)))
+                          for p in range(parts)))
 
     return named.groupBy("_slice", "_place").agg(
-        whole(0).alias("fingerprint"), whole(1).alias("edited_fingerprint"))
+        whole("plain").alias("fingerprint"), whole("other").alias("edited_fingerprint"))
 
 
 def likeness(a: str, b: str, values: int) -> Column:
@@ -140,13 +154,18 @@ def fingerprints(docs: DataFrame, parts: int = PARTS, draws: int = DRAWS,
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half),
                       F.substring(F.coalesce("_next", F.lit("")), F.lit(1), half))
     texts = with_next(docs, slice_bytes).withColumn("edited", edited)
-    # The window and both aggregates share the dealing by slice: texts are shuffled once.
     plain = texts.select("_slice", "_place", "_guest", "doc_id", n.cast("long").alias("n_chars"),
                          F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     blank = F.lit(EMPTY * (parts * draws))
     line = Window.partitionBy("_slice").orderBy("_place")
-    joined = plain.join(signatures(texts, parts, draws), ["_slice", "_place"], "left").select(
-        *plain.columns, F.coalesce("fingerprint", blank).alias("fingerprint"),
+    # Both parts of a row meet by a union, whose rows stay where they are: the window and the
+    # aggregates share the dealing by slice, and texts are shuffled once.
+    columns = [c for c in plain.columns if c not in ("_slice", "_place")]
+    whole = plain.unionByName(signatures(texts, parts, draws), allowMissingColumns=True).groupBy(
+        "_slice", "_place").agg(*(F.max(c).alias(c) for c in (
+            *columns, "fingerprint", "edited_fingerprint")))
+    joined = whole.select(
+        "_slice", "_place", *columns, F.coalesce("fingerprint", blank).alias("fingerprint"),
         F.coalesce("edited_fingerprint", blank).alias("edited_fingerprint")).withColumn(
         "_next_print", F.lead("fingerprint").over(line))
     values = parts * draws
