@@ -9,7 +9,7 @@ from tidalfed import settings as S
 from tidalfed.plans.aggregates import ALERTS
 from tidalfed.plans.messages import machine_messages, reading_messages
 from tidalfed.plans.registry import plain_time, query, r6, sql6, views
-from tidalfed.session import run_folder
+from tidalfed.session import run_folder, written
 from tidalfed.sources import tables
 from tidalfed.sources.replay import sliced
 from tidalfed.streaming import network
@@ -25,13 +25,18 @@ def _channel(spark: SparkSession, label: str) -> tuple[network.RecordedTopics, s
 
 
 def _feeder(channel: network.RecordedTopics, messages: DataFrame, names: list[str]):
-    """Publish the messages of one slice of time, each to its topic."""
-    cut = sliced(messages, "timestamp", CYCLES)
+    """Publish the messages of one slice of time, each to its topic.
+
+    Messages are made and dealt to slices and topics once.
+    """
+    cut = written(sliced(messages, "timestamp", CYCLES).withColumn(
+        "_topic", F.col("topic")), "feed", "_slice", "_topic")
 
     def feed(number: int) -> None:
-        came = cut.filter(F.col("_slice") == number).drop("_slice")
+        came = cut.filter(F.col("_slice") == number)
         for name in names:
-            channel.put(came.filter(F.col("topic") == name), name, f"gateway-{number}")
+            channel.put(came.filter(F.col("_topic") == name).drop("_slice", "_topic"), name,
+                        f"gateway-{number}")
 
     return feed
 

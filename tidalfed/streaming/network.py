@@ -26,7 +26,7 @@ from tidalfed.operators.training import build_updates, evaluate, sgd_step
 from tidalfed.schemas import (
     ALERT, EDGE_UPDATE, GLOBAL_METRICS, GLOBAL_MODEL_ELECTRIC, GLOBAL_MODEL_MACHINE, NODE_UPDATE,
     READING_ELECTRIC, READING_MACHINE, REGION_AGGREGATE)
-from tidalfed.session import settled
+from tidalfed.session import settled, written
 from tidalfed.sources import topics
 from tidalfed.streaming.state import ChangeTable, committed
 
@@ -168,7 +168,8 @@ class EdgeJob(Job):
         self.models.change(newest, batch_id)
         good, _ = topics.split_rejects(of_topic(batch, S.TOPICS["sensor_data"]),
                                        READING_ELECTRIC, ["edge_id", "voltage", "current"])
-        readings = with_region(good, region_dimension(spark)).withColumn("model_id", model)
+        readings = written(with_region(good, region_dimension(spark)).withColumn(
+            "model_id", model), "readings")  # messages are parsed once, not for each use
         known = self.edges.before(spark, batch_id)
         trained = train_nodes(readings, known, newest, key="edge_id",
                               features=X.zscore("voltage", "current"), rate=self.rate)
@@ -364,7 +365,8 @@ class NodeJob(Job):
         self.models.change(newest, batch_id)
         good, _ = topics.split_rejects(of_topic(batch, *S.MACHINE_TOPICS.values()),
                                        READING_MACHINE, ["node_id", "features"])
-        readings = good.select(model, "node_id", "label", "event_time", "features.*")
+        readings = written(good.select(model, "node_id", "label", "event_time", "features.*"),
+                           "readings")  # messages are parsed once, not for each use
         known = self.nodes.before(spark, batch_id)
         trained = train_nodes(readings, known, newest, key="node_id", features=X.shift_scale(),
                               rate=self.rate)
