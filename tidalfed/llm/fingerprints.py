@@ -7,8 +7,8 @@ ln c - r (t - beta + 1). The least sample of a draw is the signature's value: tw
 agree in it when the same term at the same level t wins, which happens at the rate of their
 generalized Jaccard similarity. A signature has ``PARTS`` x ``DRAWS`` values, and every term
 takes part in each of them. A sample depends on the term, its weight and the draw only, so
-terms are counted first and equal ones of equal weight are drawn once for a whole slice. Parts
-are rows of their own to keep the generated code short enough to be compiled.
+terms are counted first, and a term that has the same weight in a text and in its edited form
+is drawn once. Parts are rows of their own to keep the generated code short enough to be compiled.
 
 Fingerprints are 16 hex digits per value. Likeness is the share of equal values among those
 that are not empty in both; two texts without terms are alike (1). Null texts count as
