@@ -101,3 +101,22 @@ def test_given_documents(spark, small):
     rows = list(map(tuple, docs.collect()))
     got = sorted(map(tuple, substrings.removed_bytes(docs).collect()), key=str)
     assert got == brute(rows)
+
+
+def test_contexts_of_a_common_passage_go_on_in_few_parts(spark):
+    """A passage between ever other words; a row for each window would be many times the contexts."""
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choices("bcdfghjklm", k=n))
+    passage = word(70)
+    rows = [(i, f"{word(90)}{passage}{word(90)}") for i in range(200)]
+    rows += [(i + 200, rows[i][1][60:]) for i in range(0, 200, 9)]
+    assert found(spark, rows) == brute(rows)
+    texts = spark.createDataFrame([(i, 0, t) for i, t in rows], "doc long, tag long, text string")
+    first = substrings.first_occurrences(substrings.anchors(texts, 100))
+    wanted = first.join(substrings.by_contexts(first, 64), "key").select(
+        "key", "first.*", "many").filter("many")
+    held = substrings.contexts(wanted, texts, 100).selectExpr("*", "0L AS at")
+    whole, windows = held.count(), held.selectExpr("sum(place & 255)").first()[0]
+    parts = substrings.longer_owners(held, 100, substrings.OWNER)
+    assert whole > 64 and parts.selectExpr("sum(place & 255)").first()[0] == windows
+    assert parts.count() <= substrings.CUTS * whole < windows / 2

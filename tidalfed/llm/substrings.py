@@ -13,7 +13,10 @@ the input. No window crosses documents. The steps:
 3. The different contexts of one key are joined to a string, strings of many keys are sorted
    side by side by ``suffixes`` (linear grouping), and neighbours in suffix order that share 100
    bytes are equal windows: all but the first are repeats. A key with more than ``MOST``
-   contexts is dealt anew by whole windows, each an anchor of its own, as in step 2.
+   contexts is dealt anew by longer owners: each context goes on in ``CUTS`` parts, by where
+   its windows have the owner, and the windows of a part share more bytes on both sides of it.
+   Parts are handled like anchors from step 2 on, until no key has too many contexts or the
+   owner is the whole window.
 4. Runs of repeats come back to their texts, are merged and cut out.
 
 Contexts are told apart by two 64-bit hashes (owner and context); texts are not compared
@@ -36,14 +39,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidalfed.llm.common import partitions, runs, settled, whole_text
-from tidalfed.llm.suffixes import END, LOWEST, PART, suffix_arrays
+from tidalfed.llm.common import alone, partitions, runs, settled, whole_text
+from tidalfed.llm.suffixes import END, LOWEST, PART, spans, suffix_arrays
 
 WINDOW = 100
 #: Bytes of an owner: a power of two, so that its hash is made by doubling.
 OWNER = 32
 #: Contexts of a key that are sorted together.
 MOST = 64
+#: Parts of a context when its key has more.
+CUTS = 4
 #: Window starts looked at together, and contexts sorted together.
 CHUNK = 1 << 17
 SORTED = 4096
@@ -261,40 +266,112 @@ def sorted_apart(found: DataFrame, window: int) -> DataFrame:
         "key", "doc", "tag", "place").mapInArrow(scan, "doc long, tag long, place long")
 
 
-def single_windows(found: DataFrame, window: int) -> DataFrame:
-    """Each window of the contexts as an anchor of its own, which owns just itself."""
+def owner_places(data: np.ndarray, begins: np.ndarray, window: int) -> np.ndarray:
+    """Place of the owner in each context; its first window has it like all others."""
+    first = data[begins[:, None] + np.arange(window)].ravel()
+    small = BYTES[first]
+    size = 1
+    while size < OWNER:
+        small, size = doubled(small, size), size * 2
+    # Hashes that begin in one window and end in the next are not looked at.
+    small = np.append(small, np.zeros(OWNER - 1, np.uint64)).reshape(len(begins), window)
+    return np.argmin(small[:, :window - OWNER + 1] >> np.uint64(32), axis=1)
+
+
+def hashed(data: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hash of each string of bytes."""
+    at = spans(begins, sizes)
+    inside = at - np.repeat(begins, sizes)
+    mixed = scrambled((inside.astype(np.uint64) * MIX[2]) ^ BYTES[data[at]])
+    return scrambled(np.add.reduceat(mixed, np.cumsum(sizes) - sizes) + sizes.astype(np.uint64))
+
+
+def longer_by(window: int, owner: int) -> int:
+    """Neighbouring places of the owner that make a part."""
+    return -(-(window - owner + 1) // CUTS)
+
+
+def longer_owners(found: DataFrame, window: int, owner: int) -> DataFrame:
+    """The parts of the contexts by owners that reach further to the left and to the right.
+
+    ``owner`` bytes are the owner's size; it lies at one of ``window - owner + 1`` places of a
+    window, and ``step`` neighbouring ones make a part. Owners of the anchors themselves are
+    looked up; those of parts are at ``at``.
+    """
+    step = longer_by(window, owner)
+    size = window + 1 - step
+    names = ["key", "context", "doc", "tag", "place", "at", "bytes"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, doc, tag, place, data in zip(*(batch.column(c).to_pylist() for c in (
-                    "key", "doc", "tag", "place", "bytes"))):
-                _, large = hashes(np.frombuffer(data, np.uint8))
-                at = np.arange(len(data) - window + 1)
-                whole = scrambled(large[at]) + large[at + window - 2 * OWNER] * MIX[2]
-                context = scrambled(whole)
-                n = len(at)
+            if not batch.num_rows:
+                continue
+            key, doc, tag, place, at = (batch.column(c).to_numpy() for c in (
+                "key", "doc", "tag", "place", "at"))
+            blobs = batch.column("bytes").to_pylist()
+            data = np.frombuffer(b"".join(blobs), np.uint8)
+            sizes = np.array([len(b) for b in blobs])
+            begins = np.cumsum(sizes) - sizes
+            if owner == OWNER:
+                at = owner_places(data, begins, window)
+            number = sizes - window + 1
+            for part in range(CUTS):
+                skip = np.clip(at - (part + 1) * step + 1, 0, number)
+                many = np.clip(at - part * step + 1, 0, number) - skip
+                rows = np.flatnonzero(many)
+                if not len(rows):
+                    continue
+                skip, many = skip[rows], many[rows]
+                reach = at[rows] - min(part * step, size - owner)
+                start, length = begins[rows] + skip, many + window - 1
+                side = hashed(data, begins[rows] + reach, np.full(len(rows), size))
+                context = hashed(data, start, length)
+                first = (place[rows] >> 8) + skip
                 yield pa.RecordBatch.from_arrays(
-                    longs(np.full(n, key), context, np.full(n, doc), np.full(n, tag),
-                          ((place >> 8) + at) << 8 | 1),
-                    names=["key", "context", "doc", "tag", "place"])
+                    [*longs(scrambled(side ^ key[rows].view(np.uint64)), context, doc[rows],
+                            tag[rows], first << 8 | many, reach - skip),
+                     pa.array([data[a:b].tobytes() for a, b in zip(
+                         start.tolist(), (start + length).tolist())], pa.binary())],
+                    names=names)
 
-    return found.select("key", "doc", "tag", "place", "bytes").mapInArrow(scan, ANCHORS)
+    return found.select("key", "doc", "tag", "place", "at", "bytes").mapInArrow(
+        scan, ANCHORS + ", at long, bytes binary")
+
+
+def by_contexts(first: DataFrame, most: int) -> DataFrame:
+    """The keys with several contexts, and whether they are ``many``."""
+    return first.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(
+        "key", (F.col("n") > most).alias("many"))
 
 
 def repeated_runs(texts: DataFrame, window: int = WINDOW, most: int = MOST) -> DataFrame:
     """``doc``, ``tag``, ``place`` (start << 8 | number of windows) of windows seen earlier."""
+    return alone(lambda: runs_of_repeats(texts, window, most), texts.sparkSession, "repeats")
+
+
+def runs_of_repeats(texts: DataFrame, window: int, most: int) -> DataFrame:
     found = anchors(texts, window)
     shared = found.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     hits = settled(found.join(shared, "key", "left_semi"), "anchors")
     first = settled(first_occurrences(hits), "contexts")
-    mixed = first.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(
-        "key", (F.col("n") > most).alias("many"))
-    wanted = first.join(mixed, "key").select("key", "first.*", "many")
-    held = settled(contexts(wanted, texts, window), "bytes")
-    windows = settled(single_windows(held.filter("many"), window), "windows")
-    return repeats_of(hits, first).unionByName(
-        sorted_apart(held.filter("NOT many"), window)).unionByName(
-        repeats_of(windows, first_occurrences(windows)))
+    wanted = first.join(by_contexts(first, most), "key").select("key", "first.*", "many")
+    held = settled(contexts(wanted, texts, window).withColumn("at", F.lit(0).cast("long")),
+                   "bytes")
+    seen = repeats_of(hits, first)
+    owner = OWNER
+    while True:
+        seen = seen.unionByName(sorted_apart(held.filter("NOT many"), window))
+        large = held.filter("many")
+        if owner >= window or large.isEmpty():
+            return seen
+        parts = settled(longer_owners(large, window, owner), "parts")
+        owner = window + 1 - longer_by(window, owner)
+        first = settled(first_occurrences(parts), "contexts")
+        seen = seen.unionByName(repeats_of(parts, first))
+        held = settled(parts.join(first.join(by_contexts(first, most), "key").select(
+            "key", "context", "first", "many"), ["key", "context"]).filter(
+            occurrence() == F.col("first")).dropDuplicates(
+            ["key", "context"]).drop("context", "first"), "bytes")
 
 
 def merged(places: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
