@@ -8,7 +8,10 @@ agree in it when the same term at the same level t wins, which happens at the ra
 generalized Jaccard similarity. A signature has ``PARTS`` x ``DRAWS`` values, and every term
 takes part in each of them. A sample depends on the term, its weight and the draw only, so
 terms are counted first, and a term that has the same weight in a text and in its edited form
-is drawn once. Parts are rows of their own to keep the generated code short enough to be compiled.
+is drawn once. The least sample of a text of W words is hardly ever above ln(``REACH`` / W);
+where two of the three hashes show that a term's sample is, its logarithms are not computed.
+If a text's least sample of some draw is above that all the same, all of the text's samples
+are computed. Parts are rows of their own to keep the generated code short enough to be compiled.
 
 Fingerprints are 16 hex digits per value. Likeness is the share of equal values among those
 that are not empty in both; two texts without terms are alike (1). Null texts count as
@@ -18,40 +21,90 @@ rows are rows of their own. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidalfed.llm.common import whole_text
 
 PARTS, DRAWS = 8, 8
+#: A draw's least sample is above ln(REACH / W) with probability exp(-REACH).
+REACH = 12.0
 #: Bytes of text in one slice of the id order; slices are what tasks work on.
 SLICE = 4 << 20
 EMPTY = "-" * 16
 BLANKS = " \t\n\x0b\f\r"
 
 
-def uniforms(seed: int, *terms: str) -> tuple[Column, Column]:
+def uniforms(seed: int, *terms: Column) -> tuple[Column, Column]:
     """Two numbers above 0 and below 1 from the halves of a hash of the columns."""
-    bits = F.xxhash64(*(F.col(t) for t in terms), F.lit(seed))
+    bits = F.xxhash64(*terms, F.lit(seed))
     halves = F.shiftrightunsigned(bits, 32), bits.bitwiseAND(F.lit((1 << 32) - 1))
     return tuple((h.cast("double") + 0.5) / float(1 << 32) for h in halves)
 
 
+def products(k: int, term: Column, part: Column) -> tuple[Column, Column]:
+    """The products of uniform numbers that r and c are minus the logarithms of."""
+    return tuple(one * two for one, two in (uniforms(3 * k, term, part),
+                                            uniforms(3 * k + 1, term, part)))
+
+
+def sample(k: int, term: Column, part: Column, log_weight: Column, u: Column,
+           v: Column) -> Column:
+    r, c = -F.log(u), -F.log(v)
+    beta, _ = uniforms(3 * k + 2, term, part)
+    level = F.floor(log_weight / r + beta)
+    return F.log(c) - r * (level - beta + 1)
+
+
 def samples(draws: int) -> list[Column]:
     """``s0``, ``s1``, ...: the term's sample in each draw of a part, from ``term``, ``part``
-    and ``log_weight``."""
-    out = []
+    and ``log_weight``; null where it is above ln(``reach`` / weight).
+
+    A sample is at least ln c - r - ln weight, and c = -ln v at least 2 (1 - v) / (1 + v).
+    """
+    out, at = [], [F.col(c) for c in ("term", "part")]
     for k in range(draws):
-        one, two = uniforms(3 * k, "term", "part")
-        r = -F.log(one * two)
-        one, two = uniforms(3 * k + 1, "term", "part")
-        c = -F.log(one * two)
-        beta, _ = uniforms(3 * k + 2, "term", "part")
-        level = F.floor(F.col("log_weight") / r + beta)
-        out.append((F.log(c) - r * (level - beta + 1)).alias(f"s{k}"))
+        u, v = products(k, *at)
+        out.append(F.when(2.0 * (1.0 - v) * u <= F.col("reach") * (1.0 + v), sample(
+            k, *at, F.col("log_weight"), u, v)).alias(f"s{k}"))
     return out
 
 
+def digits(value: Column) -> Column:
+    """A sample as 16 hex digits."""
+    return F.lower(F.lpad(F.hex(F.xxhash64(value)), 16, "0"))
+
+
+def named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def in_full(body: str, parts: int, draws: int) -> Column:
+    """The fingerprint of a text by all samples of its terms; null without terms."""
+    hashes = F.array_sort(F.transform(pairs(body), lambda p: F.xxhash64(p["one"], p["two"])))
+
+    def weighed(order: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(1), F.size(order)), lambda i: (i == 1) | (
+            F.element_at(order, i) != F.element_at(order, F.greatest(i - 1, F.lit(1)))))
+        return named(first, lambda at: F.transform(
+            F.arrays_zip(at.alias("start"), F.concat(
+                F.slice(at, F.lit(2), F.size(at)), F.array(F.size(order) + 1)).alias("end")),
+            lambda t: F.struct(F.element_at(order, t["start"]).alias("term"),
+                               F.log(t["end"] - t["start"]).alias("log_weight"))))
+
+    def printed(terms: Column) -> Column:
+        least = lambda part, k: F.array_min(F.transform(terms, lambda t: sample(
+            k, t["term"], part, t["log_weight"], *products(k, t["term"], part))))
+        return F.array_join(F.transform(
+            F.sequence(F.lit(0), F.lit(parts - 1)), lambda part: F.concat(
+                *(digits(least(part, k)) for k in range(draws)))), "")
+
+    return F.when(has_words(body), named(named(hashes, weighed), printed))
+
+
 def slices(docs: DataFrame, slice_bytes: int) -> tuple[DataFrame, list[int | None]]:
     """Rows with ``_slice``, the number of their range of ids, and the ranges' lower bounds."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
@@ -87,52 +140,66 @@ def with_next(docs: DataFrame, slice_bytes: int) -> DataFrame:
                         F.row_number().over(line).alias("_place"))
 
 
+def has_words(body: str) -> Column:
+    return F.btrim(body, F.lit(BLANKS)) != ""
+
+
 def pairs(body: str) -> Column:
     """The words of a text with the one after each; the last word's is null."""
     # Without blanks at the ends no word is empty, but for a text without words.
     words = F.split(F.btrim(F.lower(body), F.lit(BLANKS)), r"[\x20\x09-\x0D]+")
-    return F.when(F.btrim(body, F.lit(BLANKS)) != "", F.arrays_zip(
+    return F.when(has_words(body), F.arrays_zip(
         words.alias("one"), F.slice(words, F.lit(2), F.size(words)).alias("two")))
 
 
-def signatures(texts: DataFrame, parts: int, draws: int) -> DataFrame:
-    """``_slice``, ``_place``, ``fingerprint``, ``edited_fingerprint``; no shuffle by term."""
-    terms = texts.select("_slice", "_place", F.explode(F.array(
-        F.struct(F.lit(0).alias("kind"), F.col("text").alias("body")),
-        F.struct(F.lit(1).alias("kind"), F.col("edited").alias("body")))).alias("_one")).select(
-        "_slice", "_place", "_one.kind", F.explode(pairs("_one.body")).alias("pair")).select(
-        "_slice", "_place", "kind", F.xxhash64("pair.one", "pair.two").alias("term"))
+def signatures(texts: DataFrame, parts: int, draws: int, reach: float) -> DataFrame:
+    """``_slice``, ``_place``, ``fingerprint``, ``edited_fingerprint``; no shuffle by term.
+
+    A fingerprint is null if the text has no terms or its least samples are not sure.
+    """
+    words = texts.select("_slice", "_place", pairs("text").alias("_0"), pairs("edited").alias("_1"))
+    terms = words.select(
+        "_slice", "_place", F.size("_0").alias("_n0"), F.size("_1").alias("_n1"),
+        F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(f"_{k}").alias("pairs"))
+                            for k in (0, 1)))).alias("_one")).select(
+        "_slice", "_place", "_n0", "_n1", "_one.kind", F.explode("_one.pairs").alias("pair")).select(
+        "_slice", "_place", "_n0", "_n1", "kind",
+        F.xxhash64("pair.one", "pair.two").alias("term"))
     # A text and its edited form share most terms: those of equal weight are drawn once.
-    weighed = terms.groupBy("_slice", "_place", "term").agg(
+    weighed = terms.groupBy("_slice", "_place", "_n0", "_n1", "term").agg(
         F.count_if(F.col("kind") == 0).alias("_w0"), F.count_if(F.col("kind") == 1).alias("_w1"))
     same = F.col("_w0") == F.col("_w1")
-    once = lambda w, plain, other: F.struct(
-        w.alias("weight"), F.lit(plain).alias("plain"), F.lit(other).alias("other"))
-    each = F.when(same, F.array(once(F.col("_w0"), True, True))).otherwise(F.array(
-        once(F.col("_w0"), True, False), once(F.col("_w1"), False, True)))
-    drawn = weighed.select("_slice", "_place", "term", F.explode(each).alias("_one")).select(
-        "_slice", "_place", "term", "_one.*").filter("weight > 0").select(
-        "_slice", "_place", "term", F.log("weight").alias("log_weight"), "plain", "other",
+    once = lambda w, n, plain, other: F.struct(
+        w.alias("weight"), n.alias("size"), F.lit(plain).alias("plain"),
+        F.lit(other).alias("other"))
+    each = F.when(same, F.array(once(F.col("_w0"), F.least("_n0", "_n1"), True, True))).otherwise(
+        F.array(once(F.col("_w0"), F.col("_n0"), True, False),
+                once(F.col("_w1"), F.col("_n1"), False, True)))
+    drawn = weighed.select("_slice", "_place", "_n0", "_n1", "term",
+                           F.explode(each).alias("_one")).select(
+        "_slice", "_place", "_n0", "_n1", "term", "_one.*").filter("weight > 0").select(
+        "_slice", "_place", "_n0", "_n1", "term", F.log("weight").alias("log_weight"),
+        (reach * F.col("weight") / F.col("size")).alias("reach"), "plain", "other",
         F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")).select(
-        "_slice", "_place", "part", "plain", "other", *samples(draws))
+        "_slice", "_place", "_n0", "_n1", "part", "plain", "other", *samples(draws))
     names = [f"s{k}" for k in range(draws)]
-    least = drawn.groupBy("_slice", "_place", "part").agg(
+    least = drawn.groupBy("_slice", "_place", "_n0", "_n1", "part").agg(
         *(F.min(F.when(F.col("plain"), F.col(s))).alias(s) for s in names),
         *(F.min(F.when(F.col("other"), F.col(s))).alias(f"e{s}") for s in names))
 
-    def value(columns: list[str]) -> Column:
-        """Null for a text without terms."""
-        return F.lower(F.concat(*(F.when(F.col(s).isNotNull(), F.lpad(
-            F.hex(F.xxhash64(s)), 16, "0")) for s in columns)))
+    def value(columns: list[str], size: str) -> Column:
+        """Null unless all samples are below the one that others may have been left out for."""
+        sure = F.log(reach / F.col(size)) - 1e-9
+        return F.concat(*(F.when(F.col(s) <= sure, digits(F.col(s))) for s in columns))
 
-    named = least.select("_slice", "_place", "part", value(names).alias("plain"),
-                         value([f"e{s}" for s in names]).alias("other"))
+    values = least.select("_slice", "_place", "part", value(names, "_n0").alias("plain"),
+                         value([f"e{s}" for s in names], "_n1").alias("other"))
 
     def whole(column: str) -> Column:
         return F.concat(*(F.max(F.when(F.col("part") == p, F.col(column)))
                           for p in range(parts)))
 
-    return named.groupBy("_slice", "_place").agg(
+    return values.groupBy("_slice", "_place").agg(
         whole("plain").alias("fingerprint"), whole("other").alias("edited_fingerprint"))
 
 
@@ -147,7 +214,7 @@ def likeness(a: str, b: str, values: int) -> Column:
 
 
 def fingerprints(docs: DataFrame, parts: int = PARTS, draws: int = DRAWS,
-                 slice_bytes: int = SLICE) -> DataFrame:
+                 slice_bytes: int = SLICE, reach: float = REACH) -> DataFrame:
     """doc_id, n_chars, edited_sha256, both fingerprints, near_edited, near_next."""
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
@@ -155,18 +222,21 @@ def fingerprints(docs: DataFrame, parts: int = PARTS, draws: int = DRAWS,
                       F.substring(F.coalesce("_next", F.lit("")), F.lit(1), half))
     texts = with_next(docs, slice_bytes).withColumn("edited", edited)
     plain = texts.select("_slice", "_place", "_guest", "doc_id", n.cast("long").alias("n_chars"),
-                         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+                         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+                         "text", "edited")
     blank = F.lit(EMPTY * (parts * draws))
     line = Window.partitionBy("_slice").orderBy("_place")
     # Both parts of a row meet by a union, whose rows stay where they are: the window and the
     # aggregates share the dealing by slice, and texts are shuffled once.
     columns = [c for c in plain.columns if c not in ("_slice", "_place")]
-    whole = plain.unionByName(signatures(texts, parts, draws), allowMissingColumns=True).groupBy(
+    whole = plain.unionByName(
+        signatures(texts, parts, draws, reach), allowMissingColumns=True).groupBy(
         "_slice", "_place").agg(*(F.max(c).alias(c) for c in (
             *columns, "fingerprint", "edited_fingerprint")))
     joined = whole.select(
-        "_slice", "_place", *columns, F.coalesce("fingerprint", blank).alias("fingerprint"),
-        F.coalesce("edited_fingerprint", blank).alias("edited_fingerprint")).withColumn(
+        "_slice", "_place", "_guest", "doc_id", "n_chars", "edited_sha256", *(
+            F.coalesce(name, in_full(body, parts, draws), blank).alias(name) for name, body in (
+                ("fingerprint", "text"), ("edited_fingerprint", "edited")))).withColumn(
         "_next_print", F.lead("fingerprint").over(line))
     values = parts * draws
     return joined.filter(~F.col("_guest")).select(
