@@ -35,6 +35,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, folder: str) -> Dat
     prepare(spark)
     copies = jaccard.jaccard_components(docs, gram=GRAM, share=SHARE).filter(
         "component_id <> doc_id").select(F.col("doc_id").alias("_copy")).distinct()
+    copies = jaccard.sent(copies)
     return docs.join(copies, docs["doc_id"].cast("long") == copies["_copy"], "left_anti")
 
 
