@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidalfed.llm import jaccard, language, mixing, packing, queries, substrings
-from tidalfed.llm.common import settled
-from tidalfed.session import prepare
+from tidalfed.llm.common import prepare, settled
 
 #: Tokens and classes decide here; SQL has neither the tokenizer nor the trained network.
 ORACLE_SQL = None

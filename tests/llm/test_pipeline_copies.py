@@ -3,6 +3,7 @@
 import re
 
 import corpus_pipeline
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 
@@ -47,3 +48,15 @@ def test_near_copies_of_five_words(spark, small):
     kept = kept_by_brute_force({r["doc_id"]: r["text"] for r in docs.collect()})
     assert {10_001, 10_003} <= kept and 10_002 not in kept
     assert sorted(r["doc_id"] for r in stage(spark, docs, small).collect()) == sorted(kept)
+
+
+def test_batches_of_long_texts_are_bounded(spark):
+    corpus_pipeline.prepare(spark)
+    docs = spark.range(0, 1500, 1, 1).select("id", F.repeat(F.lit("x"), 10_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    found = [r["size"] for r in docs.mapInArrow(sizes, "size long").collect()]
+    assert sum(found) > 14_000_000 and max(found) < 5_000_000
